@@ -118,24 +118,27 @@ def _inline(events: DataFrame, points: DataFrame, lat: str, lon: str) -> DataFra
     # One constant in the plan: its JSON text is parsed once, at planning time.
     text = packed.select(F.to_json("b")).first()[0]
     boxes = F.from_json(F.lit(text), packed.schema["b"].dataType)
-    at_lat, at_lon = F.col("__lat"), F.col("__lon")
-    usable = is_finite("__lat") & is_finite("__lon")
-    bound = F.array_min(F.transform(boxes, lambda b: _box_bounds(at_lat, at_lon, b)[1]))
 
-    def best_within(limit: Column) -> Column:
-        near = F.filter(boxes, lambda b: _box_bounds(at_lat, at_lon, b)[0] <= limit)
-        return F.array_min(F.transform(F.flatten(F.transform(near, lambda b: b["points"])), ranked))
+    def nearest(at: Column) -> Column:
+        def far(box: Column) -> Column:
+            return _box_bounds(at["lat"], at["lon"], box)[1]
 
-    def ranked(point: Column) -> Column:
-        d2 = _square_distance(at_lat, at_lon, point)
-        return F.struct(d2.alias("d2"), point["gid"].alias("gid"))
+        def within(limit: Column) -> Column:
+            near = F.filter(boxes, lambda b: _box_bounds(at["lat"], at["lon"], b)[0] <= limit)
+            return F.array_min(F.transform(F.flatten(F.transform(near, lambda b: b["points"])), ranked))
 
-    return (
-        events.withColumns(
-            {"__lat": F.col(lat).cast("double"), "__lon": F.col(lon).cast("double")}
-        )
-        .withColumn("__best", F.when(usable, _let(bound, best_within)))
-        .select(*events.columns, F.sqrt("__best.d2").alias("distance"), F.col("__best.gid").alias("__gid"))
+        def ranked(point: Column) -> Column:
+            d2 = _square_distance(at["lat"], at["lon"], point)
+            return F.struct(d2.alias("d2"), point["gid"].alias("gid"))
+
+        usable = is_finite(at["lat"]) & is_finite(at["lon"])
+        return F.when(usable, _let(F.array_min(F.transform(boxes, far)), within))
+
+    place = F.struct(
+        F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")
+    )
+    return events.withColumn("__best", _let(place, nearest)).select(
+        *events.columns, F.sqrt("__best.d2").alias("distance"), F.col("__best.gid").alias("__gid")
     )
 
 

@@ -311,3 +311,23 @@ def repair_actions(
         )
     )
     return counts.select(F.explode(lines).alias("line")).select("line.*").orderBy("action")
+
+
+def audit_rule(
+    events: DataFrame, sensor: DataFrame | None, key: str, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """(control_name, checked_rows, issue_count) of one control, computing no other."""
+    total = F.count("*").alias("checked_rows")
+    rules = row_rules()
+    if key in rules:
+        counts = events.agg(total, F.count_if(rules[key]).alias("issue_count"))
+    else:
+        if key == "duplicates":
+            found = duplicate_key_count(events)
+        else:
+            found = metadata_counts(events, sensor, max_rows)
+        counts = _one_row(
+            [events.agg(total), found.select(F.col(key).alias("issue_count"))],
+            ["checked_rows", "issue_count"],
+        )
+    return counts.select(F.lit(CONTROLS[key][1]).alias("control_name"), "checked_rows", "issue_count")

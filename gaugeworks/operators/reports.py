@@ -56,7 +56,7 @@ def profile_columns(
                 )
             )
         ).alias("line"),
-    ).select("line.column_name", "rows", "line.*").drop("line")
+    ).select("rows", "line.*")
     if not approximate:
         # One grouped count per column: repeated values are combined before the shuffle.
         counted = [
@@ -76,25 +76,23 @@ def profile_columns(
 def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(position, stage, rows, lost_vs_previous) for the stages of a flow, in order.
 
-    The first stage has nothing before it and loses nothing. The counts are one
-    row per stage, so comparing neighbours costs nothing.
+    The first stage has nothing before it and loses nothing.
     """
-    spark = stages[0][1].sparkSession
-    counted = [
-        df.agg(F.count("*").alias("rows")).select(
-            F.lit(i).alias("position"), F.lit(name).alias("stage"), "rows"
+    counted = [df.agg(F.count("*").alias(f"n{i}")) for i, (_, df) in enumerate(stages)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted)
+    row = stacked.agg(*(F.max(f"n{i}").alias(f"n{i}") for i in range(len(stages))))
+    lines = F.array(
+        *(
+            F.struct(
+                F.lit(i + 1).alias("position"),
+                F.lit(name).alias("stage"),
+                F.col(f"n{i}").alias("rows"),
+                (F.col(f"n{max(i - 1, 0)}") - F.col(f"n{i}")).alias("lost_vs_previous"),
+            )
+            for i, (name, _) in enumerate(stages)
         )
-        for i, (name, df) in enumerate(stages, start=1)
-    ]
-    # A handful of rows; the names and positions are literals.
-    found = {r["position"]: r for r in reduce(DataFrame.unionByName, counted).collect()}
-    lines, before = [], None
-    for position in sorted(found):
-        rows = found[position]["rows"]
-        lost = 0 if before is None else before - rows
-        lines.append((position, found[position]["stage"], rows, lost))
-        before = rows
-    return spark.createDataFrame(lines, "position INT, stage STRING, rows BIGINT, lost_vs_previous BIGINT")
+    )
+    return row.select(F.explode(lines).alias("line")).select("line.*")
 
 
 def latest(df: DataFrame, time: str, n: int, ties: Sequence[str]) -> DataFrame:
@@ -103,28 +101,30 @@ def latest(df: DataFrame, time: str, n: int, ties: Sequence[str]) -> DataFrame:
 
 
 def event_rate(
-    events: DataFrame, time: str, window: str = "5 minutes", slide: str | None = None
+    events: DataFrame, time: str, window_seconds: int = 300, slide_seconds: int | None = None
 ) -> DataFrame:
-    """Events and events per second in trailing windows, empty windows left out.
+    """Events and events per second in windows, empty windows left out.
 
     Sliding windows are summed from counts per slide, so an event is not copied
     into every window that holds it.
     """
-    slide = slide or window
-    seconds = F.expr(f"cast(unix_seconds(timestamp '1970-01-01 00:00:00Z' + interval {window}) as bigint)")
-    step = F.expr(f"cast(unix_seconds(timestamp '1970-01-01 00:00:00Z' + interval {slide}) as bigint)")
-    bucket = F.window(time, slide)
-    counted = events.groupBy(bucket.alias("w")).agg(F.count("*").alias("n"))
-    at = F.unix_seconds(F.col("w.start").cast("timestamp"))
-    back = F.sequence(F.lit(0).cast("bigint"), (seconds / step).cast("bigint") - 1)
+    slide = slide_seconds or window_seconds
+    if window_seconds % slide:
+        raise ValueError("the window must be a multiple of the slide")
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    counted = events.groupBy((seconds - F.pmod(seconds, F.lit(slide))).alias("at")).agg(
+        F.count("*").alias("n")
+    )
+    starts = [F.col("at") - F.lit(back) for back in range(0, window_seconds, slide)]
     return (
-        counted.select((at - F.explode(back) * step).alias("window_start"), "n")
+        counted.filter("at IS NOT NULL")
+        .select(F.explode(F.array(*starts)).alias("window_start"), "n")
         .groupBy("window_start")
         .agg(F.sum("n").alias("events"))
         .select(
             "window_start",
-            (F.col("window_start") + seconds).alias("window_end"),
+            (F.col("window_start") + window_seconds).alias("window_end"),
             "events",
-            (F.col("events") / seconds).alias("events_per_second"),
+            (F.col("events") / window_seconds).alias("events_per_second"),
         )
     )

@@ -1,0 +1,3 @@
+from gaugeworks.plans.flows import clean_events, load_inventory, quality_run
+
+__all__ = ["clean_events", "load_inventory", "quality_run"]

@@ -1,0 +1,20 @@
+from gaugeworks.sinks.files import (
+    land_snapshot,
+    publish_messages,
+    write_clean,
+    write_json_lines,
+    write_report,
+)
+from gaugeworks.sinks.publish import publish, read_published
+from gaugeworks.sinks.tables import append_rows
+
+__all__ = [
+    "append_rows",
+    "land_snapshot",
+    "publish",
+    "publish_messages",
+    "read_published",
+    "write_clean",
+    "write_json_lines",
+    "write_report",
+]

@@ -1,0 +1,9 @@
+from gaugeworks.streaming.flows import (
+    deduplicated,
+    enrich_messages,
+    load_clean,
+    rate,
+    trigger_options,
+)
+
+__all__ = ["deduplicated", "enrich_messages", "load_clean", "rate", "trigger_options"]
