@@ -3,6 +3,7 @@ from gaugeworks.functions.columns import (
     differs,
     is_finite,
     is_uuid,
+    ntz_instant,
     outside,
     point_part,
     strip,
@@ -17,6 +18,7 @@ __all__ = [
     "differs",
     "is_finite",
     "is_uuid",
+    "ntz_instant",
     "outside",
     "point_part",
     "strip",

@@ -46,10 +46,18 @@ def to_instant(c: Column | str, source_tz: str = "UTC") -> Column:
     ``source_tz``, whatever the zone of the session is.
     """
     text = strip(c)
-    zoned = F.when(text.rlike(_HAS_OFFSET), text).otherwise(
-        F.concat(text, F.lit(" "), F.lit(source_tz))
-    )
-    return F.try_to_timestamp(zoned)
+    has_offset = text.rlike(_HAS_OFFSET)
+    # Seconds may be left out, but not in front of an offset.
+    zoned = F.try_to_timestamp(F.regexp_replace(text, r"([T ]\d{2}:\d{2})([zZ+-])", "$1:00$2"))
+    wall_clock = text.try_cast("timestamp_ntz")
+    utc = F.convert_timezone(F.lit(source_tz), F.lit("UTC"), wall_clock)
+    return F.when(has_offset, zoned).otherwise(ntz_instant(utc))
+
+
+def ntz_instant(c: Column | str) -> Column:
+    """A zoneless UTC time as a point in time, whatever the zone of the session is."""
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _col(c)))
 
 
 def point_part(c: Column | str, index: int) -> Column:

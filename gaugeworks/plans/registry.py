@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions import strip
+from gaugeworks.functions import ntz_instant, strip
 from gaugeworks.operators import constraints as C
 from gaugeworks.operators import quality as Q
 from gaugeworks.operators.dedupe import first_per_key
@@ -632,13 +632,10 @@ def upsert_measurement(spark, sf):
 
 # --- reports -----------------------------------------------------------------
 
-_AT = "timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts))"
-
-
 @query("SELECT event_id, epoch_us(ts) AS ts_us, value FROM events ORDER BY ts DESC, event_id LIMIT 10")
 def latest_n(spark, sf):
     newest = latest(A.table(spark, sf, "events"), "ts", 10, ["event_id"])
-    return newest.select("event_id", F.unix_micros(F.expr(_AT)).alias("ts_us"), "value")
+    return newest.select("event_id", F.unix_micros(ntz_instant("ts")).alias("ts_us"), "value")
 
 
 def _profile_sql(c: str, value: str, equal: str = "CAST(NULL AS BIGINT)") -> str:
@@ -689,7 +686,7 @@ _SECONDS = "epoch_us(ts) // 1000000"
         FROM (SELECT {_SECONDS} AS s FROM events) GROUP BY ALL"""
 )
 def throughput_rate(spark, sf):
-    return event_rate(A.table(spark, sf, "events").selectExpr(f"{_AT} AS at"), "at")
+    return event_rate(A.table(spark, sf, "events").select(ntz_instant("ts").alias("at")), "at")
 
 
 @query(
@@ -699,7 +696,7 @@ def throughput_rate(spark, sf):
         (SELECT unnest([0, 1, 2, 3, 4]) AS i)) GROUP BY ALL"""
 )
 def throughput_rate_sliding(spark, sf):
-    return event_rate(A.table(spark, sf, "events").selectExpr(f"{_AT} AS at"), "at", 300, 60)
+    return event_rate(A.table(spark, sf, "events").select(ntz_instant("ts").alias("at")), "at", 300, 60)
 
 
 # --- end to end --------------------------------------------------------------
@@ -840,7 +837,7 @@ def stream_load(spark, sf):
 def _event_stream(spark, sf):
     schema = A.table(spark, sf, "events").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf).withColumn("at", F.expr(_AT))
+    return reader.parquet(sf).withColumn("at", ntz_instant("ts"))
 
 
 def _drain(stream, label, mode="append"):
