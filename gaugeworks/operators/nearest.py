@@ -35,19 +35,16 @@ _ROW_BITS = 33  # row part of monotonically_increasing_id
 _POSITION = ["__lat", "__lon"]
 
 
-def _square_distance(lat: Column, lon: Column, point: Column) -> Column:
-    d_lat, d_lon = lat - point["lat"], lon - point["lon"]
+def _square_distance(lat: Column, lon: Column) -> Column:
+    d_lat, d_lon = lat - F.col("lat"), lon - F.col("lon")
     return d_lat * d_lat + d_lon * d_lon
 
 
-def _box_bounds(lat: Column, lon: Column, box: Column) -> tuple[Column, Column]:
-    """Smallest and largest squared distance from a position to a box."""
-    zero = F.lit(0.0)
-    near_lat = F.greatest(box["lat_lo"] - lat, lat - box["lat_hi"], zero)
-    near_lon = F.greatest(box["lon_lo"] - lon, lon - box["lon_hi"], zero)
-    far_lat = F.greatest(F.abs(lat - box["lat_lo"]), F.abs(box["lat_hi"] - lat))
-    far_lon = F.greatest(F.abs(lon - box["lon_lo"]), F.abs(box["lon_hi"] - lon))
-    return near_lat * near_lat + near_lon * near_lon, far_lat * far_lat + far_lon * far_lon
+def _square_to_box(lat: Column, lon: Column) -> Column:
+    """Squared distance from a position to the box in the columns of ``_boxes``."""
+    d_lat = F.greatest(F.col("lat_lo") - lat, lat - F.col("lat_hi"), F.lit(0.0))
+    d_lon = F.greatest(F.col("lon_lo") - lon, lon - F.col("lon_hi"), F.lit(0.0))
+    return d_lat * d_lat + d_lon * d_lon
 
 
 def _spread_bits(c: Column) -> Column:
@@ -85,11 +82,16 @@ def _site_points(sites: DataFrame, gid: str, lat: str, lon: str) -> DataFrame:
 
 
 def _boxes(points: DataFrame, shift: int) -> DataFrame:
+    """Bounds of each node and the site in the middle of its run."""
+    in_run = F.col("rank").bitwiseAND(F.lit((1 << shift) - 1))
+    from_middle = in_run.bitwiseXOR(F.lit(1 << (shift - 1)))  # no two sites agree
     return points.groupBy(F.shiftright("rank", shift).alias("id")).agg(
         F.min("lat").alias("lat_lo"),
         F.max("lat").alias("lat_hi"),
         F.min("lon").alias("lon_lo"),
         F.max("lon").alias("lon_hi"),
+        F.min_by("lat", from_middle).alias("lat"),
+        F.min_by("lon", from_middle).alias("lon"),
     )
 
 
@@ -170,8 +172,8 @@ def _visit(
     """One row per position and entry of a frontier node."""
     if rows <= most:
         return frontier.join(F.broadcast(children), "node")
-    # Many positions may share one node. They are distinct, so their hash spreads them.
-    salt = F.pmod("__hash", F.lit(salts)).cast("int")
+    # Many positions may share one node. Their numbers are distinct, so a hash spreads them.
+    salt = F.pmod(F.xxhash64("__id"), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return frontier.withColumn("__salt", salt).join(
         children.withColumn("__salt", copies), ["node", "__salt"]
@@ -183,42 +185,49 @@ def _packed_answers(
 ) -> DataFrame:
     """(position) -> (d2, gid) by walking down the packed levels.
 
-    Positions are partitioned once; the aggregates and windows of every level
-    reuse that partitioning as long as the level is broadcast.
+    Positions are numbered, in a table for the same reason as the sites, and
+    partitioned by number once. Windows and aggregates of every broadcast level
+    reuse that partitioning, and their sort is on one integer.
     """
     at_lat, at_lon = F.col("__lat"), F.col("__lon")
+    d2 = _square_distance(at_lat, at_lon)
     levels = _levels(points)
     partitions = int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    per_position = Window.partitionBy("__hash", *_POSITION)
+    numbered = positions.select(F.monotonically_increasing_id().alias("__id"), *_POSITION)
     frontier = (
-        positions.withColumn("__hash", F.xxhash64(*_POSITION))
-        .repartition(partitions, "__hash")
+        materialise(numbered, "positions")
+        .repartition(partitions, "__id")
         .withColumn("__bound", F.lit(float("inf")))
         .withColumn("node", F.explode(F.array(F.lit(0).cast("bigint"))))
     )
     for (child, count), (parent, _) in reversed(list(zip(levels, levels[1:]))):
         boxes = _boxes(points, child).withColumn("node", F.shiftright("id", parent - child))
-        near, far = _box_bounds(at_lat, at_lon, F.struct("lat_lo", "lat_hi", "lon_lo", "lon_hi"))
+        # The middle site of any box is a candidate, so its distance is a bound.
+        closest = F.min("__d2").over(Window.partitionBy("__id"))
         frontier = (
             _visit(frontier, boxes, count, broadcast_nodes, salts)
             .select(
-                "__hash", *_POSITION, "__bound", near.alias("__near"), far.alias("__far"), "id"
+                "__id",
+                *_POSITION,
+                "__bound",
+                _square_to_box(at_lat, at_lon).alias("__near"),
+                d2.alias("__d2"),
+                "id",
             )
             .filter("__near <= __bound")
-            .withColumn("__bound", F.least("__bound", F.min("__far").over(per_position)))
+            .withColumn("__bound", F.least("__bound", closest))
             .filter("__near <= __bound")
-            .select("__hash", *_POSITION, "__bound", F.col("id").alias("node"))
+            .select("__id", *_POSITION, "__bound", F.col("id").alias("node"))
         )
     leaf, count = levels[0]
     sites = points.select(F.shiftright("rank", leaf).alias("node"), "lat", "lon", "gid")
-    d2 = _square_distance(at_lat, at_lon, F.struct("lat", "lon"))
     return (
         _visit(frontier, sites, count << FAN_BITS, broadcast_nodes, salts)
-        .select("__hash", *_POSITION, "__bound", d2.alias("d2"), "gid")
+        .select("__id", *_POSITION, "__bound", d2.alias("d2"), "gid")
         .filter("d2 <= __bound")
-        .groupBy("__hash", *_POSITION)
-        .agg(F.min(F.struct("d2", "gid")).alias("__best"))
-        .select(*_POSITION, "__best.d2", F.col("__best.gid").alias("__gid"))
+        .groupBy("__id")
+        .agg(F.min(F.struct("d2", F.col("gid").alias("__gid"), *_POSITION)).alias("__best"))
+        .select("__best.*")
     )
 
 

@@ -10,7 +10,7 @@ from gaugeworks.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cpus="8")
+    session = local_session("tests", cpus="8", **{"spark.default.parallelism": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
