@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 # Space, tab, line feed, vertical tab, form feed, carriage return.
 WHITESPACE = " \t\n\x0b\x0c\r"
 
-# A time of day followed by Z or a numeric offset.
-_HAS_OFFSET = r"\d{2}:\d{2}.*([zZ]|[+-]\d{2}(:?\d{2})?)\s*$"
 _UUID = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 
@@ -28,11 +26,12 @@ def strip(c: Column | str) -> Column:
 
 
 def to_int(c: Column | str) -> Column:
-    return blank_to_null(c).try_cast("int")
+    """Text to an integer. Blanks are common and set aside first: a failing cast is slow."""
+    return F.nullif(strip(c), F.lit("")).try_cast("int")
 
 
 def to_double(c: Column | str) -> Column:
-    return _col(c).try_cast("double")
+    return F.nullif(strip(c), F.lit("")).try_cast("double")
 
 
 def to_decimal(c: Column | str, precision: int, scale: int) -> Column:
@@ -46,18 +45,30 @@ def to_instant(c: Column | str, source_tz: str = "UTC") -> Column:
     ``source_tz``, whatever the zone of the session is.
     """
     text = strip(c)
-    has_offset = text.rlike(_HAS_OFFSET)
-    # Seconds may be left out, but not in front of an offset.
-    zoned = F.try_to_timestamp(F.regexp_replace(text, r"([T ]\d{2}:\d{2})([zZ+-])", "$1:00$2"))
-    wall_clock = text.try_cast("timestamp_ntz")
-    utc = F.convert_timezone(F.lit(source_tz), F.lit("UTC"), wall_clock)
-    return F.when(has_offset, zoned).otherwise(ntz_instant(utc))
+    zone = "Z" if source_tz == "UTC" else f" {source_tz}"
+    # A sign or a Z behind the date starts an offset. Seconds may be left out
+    # in the text, but the cast wants them in front of a zone.
+    has_offset = F.substring(text, 11, 40).rlike("[zZ+-]")
+    zoned = (
+        F.when(has_offset, F.regexp_replace(text, r"([T ]\d{2}:\d{2})([zZ+-])", "$1:00$2"))
+        .when(~F.contains(text, F.lit(":")), F.concat(text, F.lit(f" 00:00:00{zone}")))
+        .when(text.rlike(r"[T ]\d{1,2}:\d{1,2}$"), F.concat(text, F.lit(f":00{zone}")))
+        .otherwise(F.concat(text, F.lit(zone)))
+    )
+    # Without a date the cast would take a time of day as one of today.
+    return F.when(text.rlike(r"^\d{4,6}-"), zoned.try_cast("timestamp"))
 
 
 def ntz_instant(c: Column | str) -> Column:
     """A zoneless UTC time as a point in time, whatever the zone of the session is."""
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _col(c)))
+    c = _col(c)
+    seconds = F.date_part(F.lit("SECOND"), c)  # decimal(8,6)
+    return F.timestamp_micros(
+        F.unix_date(c.cast("date")) * F.lit(86_400_000_000)
+        + F.hour(c) * F.lit(3_600_000_000)
+        + F.minute(c) * F.lit(60_000_000).cast("bigint")
+        + (seconds * 1_000_000).cast("bigint")
+    )
 
 
 def point_part(c: Column | str, index: int) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import is_uuid, outside
 from gaugeworks.operators.lookup import lookup_join
 from gaugeworks.schemas import REQUIRED_CLEAN
+from gaugeworks.session import materialise
 
 
 class ConstraintError(ValueError):
@@ -151,7 +152,11 @@ def summarise(df: DataFrame, checks: Sequence[object]) -> DataFrame:
 
 
 def flag_violations(df: DataFrame, checks: Sequence[object]) -> DataFrame:
-    """Rows with ``violations``, the names of the checks each row fails."""
+    """Rows with ``violations``, the names of the checks each row fails.
+
+    Duplicated keys and missing references are found first and kept as tables:
+    they are measured and then joined, without being computed twice.
+    """
     row_checks = [c for c in checks if isinstance(c, RowCheck)]
     marks = [F.when(c.column(), F.lit(c.name)) for c in row_checks]
     flagged, extra = df, []
@@ -159,12 +164,12 @@ def flag_violations(df: DataFrame, checks: Sequence[object]) -> DataFrame:
         mark = f"__mark{i}"
         if isinstance(check, UniqueCheck):
             dups = duplicated_keys(df.dropna(subset=list(check.keys)), check.keys)
-            dups = dups.select(*check.keys, F.lit(check.name).alias(mark))
-            flagged = lookup_join(flagged, dups, check.keys)
+            marked = materialise(dups.select(*check.keys, F.lit(check.name).alias(mark)), "duplicates")
+            flagged = lookup_join(flagged, marked, check.keys)
         elif isinstance(check, ReferenceCheck):
             missing = missing_references(check, df)
-            missing = missing.select(check.key, F.lit(check.name).alias(mark))
-            flagged = lookup_join(flagged, missing, [check.key])
+            marked = materialise(missing.select(check.key, F.lit(check.name).alias(mark)), "orphans")
+            flagged = lookup_join(flagged, marked, [check.key])
         else:
             continue
         extra.append(mark)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions import strip, to_double, to_instant
+from gaugeworks.functions import to_double, to_instant, to_int
 from gaugeworks.operators.constraints import (
     Validation,
     clean_row_checks,
@@ -49,17 +49,25 @@ def load_inventory(spark: SparkSession, path: str, source_tz: str = "UTC") -> di
 
 def type_events(enriched: DataFrame, run_at: datetime, source_tz: str = "UTC") -> DataFrame:
     """Typed columns; a value that does not convert is NULL, missing rain is 0."""
+    kinds = dict(enriched.dtypes)
+
+    def number(c: str) -> Column:
+        return to_double(c) if kinds[c] == "string" else F.col(c).try_cast("double")
+
+    def integer(c: str) -> Column:
+        return to_int(c) if kinds[c] == "string" else F.col(c).try_cast("int")
+
     return enriched.withColumns(
         {
             "observed_at": to_instant("observed_at", source_tz),
             "collected_at": to_instant("collected_at", source_tz),
-            "temperature_c": to_double("temperature_c"),
-            "humidity_pct": to_double("humidity_pct"),
-            "wind_speed_kmh": to_double("wind_speed_kmh"),
-            "precipitation_mm": F.coalesce(to_double("precipitation_mm"), F.lit(0.0)),
-            "sensor_gid": strip(F.col("sensor_gid").cast("string")).try_cast("int"),
-            "zone": strip(F.col("zone").cast("string")).try_cast("int"),
-            "comptage_5m": strip(F.col("comptage_5m").cast("string")).try_cast("int"),
+            "temperature_c": number("temperature_c"),
+            "humidity_pct": number("humidity_pct"),
+            "wind_speed_kmh": number("wind_speed_kmh"),
+            "precipitation_mm": F.coalesce(number("precipitation_mm"), F.lit(0.0)),
+            "sensor_gid": integer("sensor_gid"),
+            "zone": integer("zone"),
+            "comptage_5m": integer("comptage_5m"),
             "processed_at": F.lit(run_at).cast("timestamp"),
         }
     )

@@ -1,4 +1,5 @@
 from gaugeworks.sinks.files import (
+    export_latest,
     land_snapshot,
     publish_messages,
     write_clean,
@@ -10,6 +11,7 @@ from gaugeworks.sinks.tables import append_rows
 
 __all__ = [
     "append_rows",
+    "export_latest",
     "land_snapshot",
     "publish",
     "publish_messages",

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from gaugeworks.operators.reports import latest
+
 
 def messages(df: DataFrame) -> DataFrame:
     """Each row as one JSON text in ``value``; NULL fields are left out."""
@@ -35,16 +37,24 @@ def land_snapshot(df: DataFrame, path: str) -> int:
 def write_clean(df: DataFrame, path: str, partition_by: str = "observed_date") -> int:
     """Full overwrite of the clean Parquet data, by observation day. Returns the row count.
 
-    ``path`` must not be one that ``df`` reads.
+    Rebalancing gathers the rows of a day, so that not every task writes a file
+    for every day, and adaptive execution splits a day that is too large for one
+    task. ``path`` must not be one that ``df`` reads.
     """
     seen = Observation("clean")
-    dated = df.withColumn(partition_by, F.to_date("observed_at"))
+    dated = df.withColumn(partition_by, F.to_date("observed_at")).hint("rebalance", partition_by)
     # Days differ in size: rows of one day are spread over the tasks by their key.
     writer = dated.observe(seen, F.count("*").alias("rows")).write.mode("overwrite")
     writer.partitionBy(partition_by).parquet(path)
     return seen.get["rows"]
 
 
+def export_latest(df: DataFrame, path: str, n: int = 10) -> None:
+    """The newest clean events as one semicolon CSV sample."""
+    newest = latest(df, "observed_at", n, ["event_id"])
+    newest.coalesce(1).write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
+
+
 def write_report(df: DataFrame, folder: str, report: str, run_at: datetime) -> str:
     """One CSV with a header under ``folder/report=…/run_ts=…``; older runs stay.
 

@@ -18,7 +18,10 @@ def _missing(error: AnalysisException) -> bool:
 
 
 def read_inventory(
-    spark: SparkSession, path: str | Sequence[str], schema: str = INVENTORY_RAW
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: str = INVENTORY_RAW,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Semicolon CSV with a header to all-text staging rows; empty fields are NULL.
 
@@ -33,7 +36,7 @@ def read_inventory(
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -94,7 +97,8 @@ def flatten_payload(
     random UUID and the collection time is now, unless given.
     """
     current = F.from_json(payload, PAYLOAD)["current"]
-    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    utc_now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    now = F.date_format(utc_now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
     def place(value: float | str) -> Column:
         return (F.col(value) if isinstance(value, str) else F.lit(value)).cast("double")

@@ -3,7 +3,8 @@ from gaugeworks.streaming.flows import (
     enrich_messages,
     load_clean,
     rate,
+    rows_processed,
     trigger_options,
 )
 
-__all__ = ["deduplicated", "enrich_messages", "load_clean", "rate", "trigger_options"]
+__all__ = ["deduplicated", "enrich_messages", "load_clean", "rate", "rows_processed", "trigger_options"]

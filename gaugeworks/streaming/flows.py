@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -105,15 +105,16 @@ def load_clean(
     spark = enriched.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean_events(batch.drop("batch_id"), run_at or datetime.now(timezone.utc), source_tz)
-        held = scan_table(spark, target, f"{_ddl(cleaned)}, batch_id BIGINT")
-        earlier = held.filter(F.col("batch_id") < batch_id).drop("batch_id")
-        _land(
-            absent_rows(cleaned, earlier, ["event_id"], ["collected_at"]),
-            target,
-            batch_id,
-            "parquet",
-        )
+        cleaned = clean_events(
+            batch.drop("batch_id"), run_at or datetime.now(timezone.utc), source_tz
+        ).persist()
+        try:
+            held = scan_table(spark, target, f"{_ddl(cleaned)}, batch_id BIGINT")
+            earlier = held.filter(F.col("batch_id") < batch_id).drop("batch_id")
+            fresh = absent_rows(cleaned, earlier, ["event_id"], ["collected_at"])
+            _land(fresh, target, batch_id, "parquet")
+        finally:
+            cleaned.unpersist()
 
     writer = enriched.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(every)).start()
@@ -123,7 +124,12 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
 
-def enriched_file_stream(spark, path: str, max_files: int | None = None) -> DataFrame:
+def rows_processed(query: StreamingQuery) -> int:
+    """Input rows of the batches the query still remembers."""
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+
+def enriched_file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Enriched rows as they are landed by ``enrich_messages``."""
     reader = spark.readStream.schema(ENRICHED).option("recursiveFileLookup", True)
     if max_files:
@@ -136,7 +142,13 @@ def deduplicated(stream: DataFrame, key: str, time: str, delay: str) -> DataFram
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def rate(stream: DataFrame, time: str, delay: str, window_seconds: int = 300, slide_seconds: int | None = None) -> DataFrame:
+def rate(
+    stream: DataFrame,
+    time: str,
+    delay: str,
+    window_seconds: int = 300,
+    slide_seconds: int | None = None,
+) -> DataFrame:
     """Events and events per second in windows of event time; a window is final after ``delay``."""
     slide = slide_seconds or window_seconds
     frame = F.window(time, f"{window_seconds} seconds", f"{slide} seconds")

@@ -1,4 +1,4 @@
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ def one(spark, text, column):
         ("2026-09-25 16:15Z", "UTC", "2026-09-25 16:15:00"),
         ("2021-04-28", "UTC", "2021-04-28 00:00:00"),
         ("zz", "UTC", None),
+        ("16:15", "UTC", None),
+        ("16:15:00+02:00", "UTC", None),
         ("", "UTC", None),
         (None, "UTC", None),
     ],
@@ -37,13 +39,16 @@ def test_to_instant(spark, text, tz, expected):
         assert micros == round(want.timestamp() * 1_000_000)
 
 
-def test_to_instant_ignores_the_session_zone(spark):
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "Europe/Paris", "America/New_York"])
+@pytest.mark.parametrize("text", ["2026-09-25T16:15", "1969-01-02 03:04:05.000006", "2026-10-25 02:30", "2026-12-31 23:59:59.999999"])
+def test_to_instant_ignores_the_session_zone(spark, zone, text):
+    spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        micros = one(spark, "2026-09-25T16:15", F.unix_micros(G.to_instant("c")))
+        micros = one(spark, text, F.unix_micros(G.to_instant("c")))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert micros == datetime(2026, 9, 25, 16, 15, tzinfo=timezone.utc).timestamp() * 1_000_000
+    since = datetime.fromisoformat(text).replace(tzinfo=timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    assert micros == since // timedelta(microseconds=1)
 
 
 @pytest.mark.parametrize(
@@ -53,6 +58,19 @@ def test_to_int(spark, text, expected):
     assert one(spark, text, G.to_int("c")) == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [(" 1.5 ", 1.5), ("-.5", -0.5), ("2.", 2.0), ("1e3", 1000.0), ("Infinity", float("inf")),
+     ("-inf", float("-inf")), ("", None), ("n/a", None), (None, None)],
+)
+def test_to_double(spark, text, expected):
+    assert one(spark, text, G.to_double("c")) == expected
+
+
+def test_to_double_nan(spark):
+    assert one(spark, "NaN", F.isnan(G.to_double("c")))
+
+
 def test_trim_rules_differ(spark):
     assert one(spark, "\t7\n ", G.strip("c")) == "7"
     assert one(spark, "\t ", G.blank_to_null("c")) == "\t"

@@ -13,6 +13,7 @@ from gaugeworks.schemas import ENRICHED, ENRICHED_TEXT, EVENT, WEATHER_SENSOR_CL
 from gaugeworks.session import shared_dir
 from gaugeworks.sinks import (
     append_rows,
+    export_latest,
     land_snapshot,
     publish,
     read_published,
@@ -31,7 +32,7 @@ from gaugeworks.sources import (
     split_corrupt,
 )
 from gaugeworks.sources.tables import register_views
-from gaugeworks.streaming import deduplicated, enrich_messages, load_clean, rate
+from gaugeworks.streaming import deduplicated, enrich_messages, load_clean, rate, rows_processed
 from gaugeworks.streaming.flows import enriched_file_stream
 
 RUN = datetime(2026, 9, 25, 17, 0, tzinfo=timezone.utc)
@@ -136,6 +137,8 @@ def test_clean_is_partitioned_by_day(spark, tmp_path):
     assert write_clean(df, f"{tmp_path}/clean") == 2
     assert write_clean(df, f"{tmp_path}/clean") == 2
     back = spark.read.parquet(f"{tmp_path}/clean")
+    export_latest(back.withColumn("event_id", F.col("k")), f"{tmp_path}/sample", 1)
+    assert spark.read.option("sep", ";").option("header", True).csv(f"{tmp_path}/sample").first().k == "2"
     assert back.filter("observed_date = '2026-01-02'").select("k").first()[0] == 2 and back.count() == 2
 
 
@@ -194,11 +197,13 @@ def sites(spark):
 def test_stream_enrich_and_load(spark, sites, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
-    out = f"{tmp_path}/out"
+    out, read = f"{tmp_path}/out", []
 
     def run():
         stream = json_file_stream(spark, str(inbox), max_files=1)
-        enrich_messages(stream, sites, out, f"{tmp_path}/cp1").awaitTermination()
+        query = enrich_messages(stream, sites, out, f"{tmp_path}/cp1")
+        query.awaitTermination()
+        read.append(rows_processed(query))
         landed = enriched_file_stream(spark, f"{out}/enriched", max_files=1)
         load_clean(landed, f"{tmp_path}/clean", f"{tmp_path}/cp2", run_at=RUN).awaitTermination()
 
@@ -208,6 +213,7 @@ def test_stream_enrich_and_load(spark, sites, tmp_path):
     lines(inbox / "3", *[event(n) for n in (0, 5)])
     run()
     run()
+    assert read == [8, 2, 0]
     assert count_lines(spark, f"{out}/raw") == 10
     assert spark.read.parquet(f"{out}/enriched").count() == 8
     reasons = spark.read.json(f"{out}/rejected").groupBy("reason").count()
