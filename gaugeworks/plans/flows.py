@@ -24,7 +24,7 @@ from gaugeworks.operators.merge import to_target
 from gaugeworks.operators.normalize import measurements, sensor_types, sensors, traffic_zones
 from gaugeworks.operators.quality import audit, repair, repair_actions
 from gaugeworks.schemas import WEATHER_SENSOR_CLEAN
-from gaugeworks.session import fresh_path
+from gaugeworks.session import materialise
 from gaugeworks.sinks import publish, write_report
 from gaugeworks.sources import read_inventory
 
@@ -98,31 +98,33 @@ class QualityRun:
     after: DataFrame
     repaired: DataFrame
     run_id: str
-    reports: tuple[str, str, str]
+    reports: tuple[str, ...]
 
 
 def quality_run(
-    events: DataFrame, sensor: DataFrame, root: str, run_at: datetime
+    events: DataFrame, sensor: DataFrame, root: str, run_at: datetime, immutable: bool = False
 ) -> QualityRun:
     """Audit, repair and audit again on one snapshot of the events.
 
-    The snapshot is written once, so the two audits and the repair cannot see
-    different rows. The repaired table and the three reports become visible
-    together, through the manifest under ``root``.
+    The events are written once as a snapshot, so that the audit, the counts and
+    the repair cannot see different rows; set ``immutable`` for a table that does
+    not change, such as one that was published. The repaired table is written
+    once, audited as written, and becomes visible through the manifest under
+    ``root`` after the three reports.
     """
-    spark = events.sparkSession
-    path = fresh_path(spark, "quality-snapshot")
-    events.write.parquet(path)
-    snapshot = require_rows(spark.read.parquet(path), "events")
+    snapshot = require_rows(events if immutable else materialise(events, "snapshot"), "events")
     before, actions = audit(snapshot, sensor), repair_actions(snapshot, sensor)
-    repaired_path = fresh_path(spark, "quality-repaired")
-    repair(snapshot, sensor).write.parquet(repaired_path)
-    repaired = spark.read.parquet(repaired_path)
-    after = audit(repaired, sensor)
-    reports = (
-        write_report(before, f"{root}/reports", "quality_before", run_at),
-        write_report(actions, f"{root}/reports", "cleaning_actions", run_at),
-        write_report(after, f"{root}/reports", "quality_after", run_at),
-    )
-    run_id = publish({"events": repaired}, root)
-    return QualityRun(before, actions, after, repaired, run_id, reports)
+    written: dict[str, DataFrame] = {}
+    reports: list[str] = []
+
+    def report(tables: dict[str, DataFrame]) -> None:
+        written.update(tables, after=audit(tables["events"], sensor))
+        for name, df in (
+            ("quality_before", before),
+            ("cleaning_actions", actions),
+            ("quality_after", written["after"]),
+        ):
+            reports.append(write_report(df, f"{root}/reports", name, run_at))
+
+    run_id = publish({"events": repair(snapshot, sensor)}, root, report)
+    return QualityRun(before, actions, written["after"], written["events"], run_id, tuple(reports))

@@ -89,6 +89,14 @@ def test_unusable_positions(spark, way):
     assert rows == {1: (3, False), 2: (None, True), 3: (None, True), 4: (None, True)}
 
 
+@pytest.mark.parametrize("way", WAYS)
+def test_negative_zero_is_zero(spark, way):
+    sites = frame(spark, [1.0, 0.0], [0.0, -0.0], gid=[1, 2], ident=["a", "b"])
+    events = frame(spark, [0.0, -0.0, -0.0], [-0.0, 0.0, -0.0], event_id=[1, 2, 3])
+    found = nearest_site(events, sites, take=TAKE, **WAYS[way]).collect()
+    assert [(r.sensor_gid, r.distance) for r in found] == [(2, 0.0)] * 3
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_no_site_at_all(spark, way):
     sites = spark.createDataFrame([], "gid int, ident string, latitude double, longitude double")

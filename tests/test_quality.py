@@ -213,7 +213,9 @@ def test_quality_run(spark, sensor, tmp_path):
     first = quality_run(df, sensor, root, datetime(2026, 9, 28, 8, 40))
     assert issues(first.before) == {"temperature": 1, "metadata": 1}
     assert issues(first.after) == {"optional": 1}
-    second = quality_run(read_published(spark, root, "events"), sensor, root, datetime(2026, 9, 28, 8, 42))
+    published = read_published(spark, root, "events")
+    second = quality_run(published, sensor, root, datetime(2026, 9, 28, 8, 42), immutable=True)
+    assert second.run_id != first.run_id
     assert {r.corrected_rows for r in second.actions.collect()} == {0}
     for report in first.reports + second.reports:
         assert spark.read.option("header", True).csv(report).count() in (6, 11)
