@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import is_finite
@@ -95,17 +95,15 @@ def _boxes(points: DataFrame, shift: int) -> DataFrame:
     )
 
 
-def _inline(events: DataFrame, points: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Answer each event in its row from a list of at most a few thousand sites.
+def _inline(events: DataFrame, listed: list[Row], kind: str, lat: str, lon: str) -> DataFrame:
+    """Answer each event in its row from a list of at most a few thousand sites, by gid.
 
     Arrow batches and array arithmetic: the same as a built-in higher-order
     function costs a hundred times as much, since Spark interprets its lambda.
     """
-    listed = points.orderBy("gid").collect()
     site_lat = np.array([r["lat"] for r in listed], dtype=float)
     site_lon = np.array([r["lon"] for r in listed], dtype=float)
     gids = pd.Series([r["gid"] for r in listed])
-    kind = points.schema["gid"].dataType.simpleString()
     step = max(1, BATCH_CELLS // max(1, len(listed)))
 
     @F.pandas_udf(f"d2 double, gid {kind}")
@@ -261,15 +259,18 @@ def nearest_site(
         *(F.col(src).alias(f"__take_{out}") for out, src in take.items()),
     )
     taken = [F.col(f"__take_{out}").alias(out) for out in take]
-    if strategy == "auto":
-        strategy = "inline" if points.count() <= inline_sites else "packed"
-    if strategy == "inline":
-        answered = _inline(events, points, lat, lon)
+    if strategy not in ("auto", "inline", "packed"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    # One site more than may be listed tells whether all of them may.
+    listed = [] if strategy == "packed" else points.orderBy("gid").limit(inline_sites + 1).collect()
+    if strategy == "inline" and len(listed) > inline_sites:
+        raise ValueError(f"more than {inline_sites} sites for the inline strategy")
+    if strategy != "packed" and len(listed) <= inline_sites:
+        kind = points.schema["gid"].dataType.simpleString()
+        answered = _inline(events, listed, kind, lat, lon)
         return lookup_join(answered, chosen, ["__gid"], "left", max_rows=broadcast_rows).select(
             *events.columns, "distance", *taken
         )
-    if strategy != "packed":
-        raise ValueError(f"unknown strategy {strategy!r}")
     usable = is_finite(lat) & is_finite(lon)
     located = events.withColumns(
         {

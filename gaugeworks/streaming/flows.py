@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeworks.functions import is_finite
 from gaugeworks.operators.constraints import require_rows
 from gaugeworks.operators.merge import absent_rows
 from gaugeworks.operators.nearest import nearest_site
 from gaugeworks.plans.flows import clean_events
 from gaugeworks.schemas import ENRICHED
-from gaugeworks.sources import decode_events, scan_table, split_corrupt
+from gaugeworks.session import materialise
+from gaugeworks.sources import decode_events, scan_table
 
 # Event column -> column of the normalised site table.
 SITE_TAKE = {
@@ -54,36 +56,28 @@ def enrich_messages(
 
     Under ``out``: ``raw`` holds the message texts, ``enriched`` the typed rows
     with their site, ``rejected`` the messages that do not parse or have no
-    usable position. The site list must not be empty; it is read per batch.
+    usable position. The site list must not be empty; it is read once, at the
+    start, so a replayed batch meets the same sites.
     """
-    require_rows(sites, "sites")
+    sites = materialise(require_rows(sites, "sites"), "sites")
+    readable = F.col("_corrupt_record").isNull()
+    placed = is_finite("latitude") & is_finite("longitude")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        texts = batch.select("value", F.col("value").alias("__text"))
+        decoded = decode_events(texts, "value").persist()
         try:
-            _land(batch.select("value"), f"{out}/raw", batch_id, "text")
-            decoded = decode_events(batch.select("value", F.col("value").alias("__text")), "value")
-            events, _ = split_corrupt(decoded)
-            enriched = nearest_site(events, sites, take=take or SITE_TAKE)
-            unplaced = F.col("distance").isNull()
-            _land(
-                enriched.filter(~unplaced).drop("__text", "distance"),
-                f"{out}/enriched",
-                batch_id,
-                "parquet",
-            )
-            rejected = (
-                decoded.filter(F.col("_corrupt_record").isNotNull())
-                .select(F.lit("unreadable").alias("reason"), F.col("__text").alias("value"))
-                .unionByName(
-                    enriched.filter(unplaced).select(
-                        F.lit("no position").alias("reason"), F.col("__text").alias("value")
-                    )
-                )
+            _land(decoded.select(F.col("__text").alias("value")), f"{out}/raw", batch_id, "text")
+            events = decoded.filter(readable & placed).drop("__text", "_corrupt_record")
+            enriched = nearest_site(events, sites, take=take or SITE_TAKE).drop("distance")
+            _land(enriched, f"{out}/enriched", batch_id, "parquet")
+            rejected = decoded.filter(~(readable & placed)).select(
+                F.when(readable, "no position").otherwise("unreadable").alias("reason"),
+                F.col("__text").alias("value"),
             )
             _land(rejected, f"{out}/rejected", batch_id, "json")
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(every)).start()

@@ -140,3 +140,13 @@ def test_many_levels(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     d2 = (found.latitude.to_numpy()[:, None] - lat) ** 2 + (found.longitude.to_numpy()[:, None] - lon) ** 2
     assert (found.sensor_gid.to_numpy() == d2.argmin(axis=1)).all()
+
+
+def test_long_lists_are_not_collected(city):
+    events, sites, d2 = city
+    with pytest.raises(ValueError, match="more than 10"):
+        nearest_site(events, sites, strategy="inline", inline_sites=10)
+    found = nearest_site(events, sites, inline_sites=10).toPandas().sort_values("event_id")
+    assert (found.sensor_gid.to_numpy() == d2.argmin(axis=1)).all()
+    with pytest.raises(ValueError, match="unknown"):
+        nearest_site(events, sites, strategy="guess")
