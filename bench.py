@@ -78,7 +78,7 @@ def main() -> None:
     times["stored_repair"] = timed(lambda: Q.repair(stored, sites))
     compared = {
         "stored_audit_scan_per_rule": timed(lambda: scan_per_rule(stored, sites)),
-        "short_list_inline": timed(lambda: nearest_site(events, short, strategy="inline")),
+        "short_list_auto": timed(lambda: nearest_site(events, short)),
         "short_list_packed": timed(lambda: nearest_site(events, short, strategy="packed")),
         "long_list_packed_shuffled": timed(
             lambda: nearest_site(
