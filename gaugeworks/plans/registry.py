@@ -150,7 +150,11 @@ _TYPED = """SELECT event_id, observed_at AS observed_us, collected_at AS collect
 
 @query(_TYPED, ("landed",))
 def typed_clean(spark, sf):
-    cleaned = clean_events(A.landed(spark, sf), RUN_AT)
+    """From landed JSON lines, as the flow reads them, to clean rows."""
+    path = fresh_path(spark, "landed")
+    A.landed(spark, sf).write.json(path)
+    lines = read_json_lines(spark, path, ENRICHED_TEXT).drop("_corrupt_record")
+    cleaned = clean_events(lines, RUN_AT)
     return cleaned.select(
         "event_id",
         F.unix_micros("observed_at").alias("observed_us"),
