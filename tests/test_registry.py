@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from gaugeworks.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -34,14 +35,15 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(entry_point.queries())
 
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() == 11
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
     found = entry_point.queries()[name](spark, SF)
     columns = sorted(found.columns)
