@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
+from gaugeworks.llm.line_bloom import line_dedup
 from gaugeworks.llm.quality_bands import compression_bands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +38,41 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP6_SQL = """
+WITH line AS (
+  SELECT doc_id, i, l, translate(regexp_replace(l, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
+          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+        FROM documents)
+), repeated AS (
+  SELECT k, max(doc_id) AS keeper FROM line WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT l.doc_id, count(*) AS n_lines,
+  count(*) FILTER (WHERE r.k IS NOT NULL AND l.doc_id <> r.keeper) AS n_dropped,
+  sha256(coalesce(string_agg(l.l, chr(10) ORDER BY l.i)
+    FILTER (WHERE r.k IS NULL OR l.doc_id = r.keeper), '')) AS kept_sha256
+FROM line l LEFT JOIN repeated r ON r.k = l.k
+GROUP BY l.doc_id
+"""
+
+
+@query(OP6_SQL)
+def op6_line_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return line_dedup(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256")
+    )
+
+
+@query()
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 OP10_SQL = """
 WITH words AS (
   SELECT doc_id, regexp_extract_all(
