@@ -12,6 +12,7 @@ from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
 from gaugeworks.llm.quality_bands import compression_bands
+from gaugeworks.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -73,6 +74,30 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query(OP9_SQL)
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_warc(table(spark, sf_dir, "pages"))
+    return read_warc(index, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 OP10_SQL = """
 WITH words AS (
   SELECT doc_id, regexp_extract_all(
