@@ -12,6 +12,7 @@ from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
 from gaugeworks.llm.quality_bands import compression_bands
+from gaugeworks.llm.url_filter import url_filter
 from gaugeworks.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,22 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the url query, longest match wins.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
+@query()
+def op2_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter(pages, URL_RULES, table(spark, sf_dir, "documents").select("text"))
+
+
 OP6_SQL = """
 WITH line AS (
   SELECT doc_id, i, l, translate(regexp_replace(l, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
