@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeworks.llm import licence_sentences
 from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
@@ -56,6 +57,13 @@ def op2_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, URL_RULES, table(spark, sf_dir, "documents").select("text"))
 
 
+@query(licence_sentences.oracle_sql())
+def op5_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence_sentences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lists = ("sentence_ids", "licences", "left_over")
+    return found.withColumns({c: F.array_join(c, ",") for c in lists})
+
+
 OP6_SQL = """
 WITH line AS (
   SELECT doc_id, i, l, translate(regexp_replace(l, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
