@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import licence_sentences
+from gaugeworks.llm import kneser_ney, licence_sentences
 from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
@@ -99,6 +99,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query()
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", kneser_ney.held_out(F.col("doc_id")))
+    model = kneser_ney.train(docs.filter(~F.col("held_out")))
+    return kneser_ney.score(docs, model).drop("text")
+
+
 OP9_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
