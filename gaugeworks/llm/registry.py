@@ -13,6 +13,7 @@ from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
 from gaugeworks.llm.quality_bands import compression_bands
+from gaugeworks.llm.recompression import repeats
 from gaugeworks.llm.url_filter import url_filter
 from gaugeworks.llm.warc import read_warc, write_warc
 
@@ -57,6 +58,37 @@ def op2_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, URL_RULES, table(spark, sf_dir, "documents").select("text"))
 
 
+OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+), late AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS m FROM win) WHERE m < doc_id
+), hit AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM late
+), word AS (
+  SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT w.doc_id, count(h.p) AS n_removed,
+    string_agg(w.x, ' ' ORDER BY w.p) FILTER (WHERE h.p IS NULL) AS t
+  FROM word w LEFT JOIN hit h ON h.doc_id = w.doc_id AND h.p = w.p GROUP BY w.doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+  sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query(OP4_SQL)
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query(licence_sentences.oracle_sql())
 def op5_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licence_sentences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
