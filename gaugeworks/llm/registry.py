@@ -12,6 +12,7 @@ from gaugeworks.llm import kneser_ney, licence_sentences
 from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
+from gaugeworks.llm.ngram_jaccard import jaccard_components
 from gaugeworks.llm.quality_bands import compression_bands
 from gaugeworks.llm.recompression import repeats
 from gaugeworks.llm.url_filter import url_filter
@@ -58,6 +59,42 @@ def op2_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, URL_RULES, table(spark, sf_dir, "documents").select("text"))
 
 
+OP3_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), f AS (
+  SELECT k FROM s GROUP BY k HAVING count(*) > 1
+), t AS (
+  SELECT s.doc_id, s.k FROM s JOIN f USING (k)
+), pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+  FROM t x JOIN t y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM pair JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * o >= 90 * (p.n + q.n - o)
+), walk(doc_id, here) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT walk.doc_id, link.b FROM walk JOIN link ON link.a = walk.here
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(here) AS component_id FROM walk GROUP BY doc_id) c USING (doc_id)
+"""
+
+
+@query(OP3_SQL)
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
