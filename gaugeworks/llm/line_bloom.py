@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from gaugeworks.llm import packed as P
 from gaugeworks.llm import tokens as K
 from gaugeworks.llm.frames import added, text_of
+from gaugeworks.operators.lookup import lookup_join
 from gaugeworks.session import materialise
 
 MIN_CHARS = 20
@@ -187,12 +188,17 @@ def suspects(texts: DataFrame, filters: list, min_chars: int) -> DataFrame:
                 which = order[found]
                 owner = lines.owner[lines.long[which]]
                 h1, h2 = lines.key[which], lines.second(which)
-                rows = np.unique(np.stack([owner.astype(np.uint64), h1, h2], axis=1), axis=0)
+                order = np.lexsort((h2, h1, owner))
+                owner, h1, h2 = owner[order], h1[order], h2[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (
+                    (owner[1:] != owner[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[part.lo : part.hi].take(pa.array(rows[:, 0].astype(np.int64))),
-                        pa.array(np.ascontiguousarray(rows[:, 1]).view(np.int64)),
-                        pa.array(np.ascontiguousarray(rows[:, 2]).view(np.int64)),
+                        batch.column(0)[part.lo : part.hi].take(pa.array(owner[new])),
+                        pa.array(h1[new].view(np.int64)),
+                        pa.array(h2[new].view(np.int64)),
                     ],
                     schema.names,
                 )
@@ -221,10 +227,11 @@ def line_dedup(
         .filter(F.col("n") >= min_docs)
         .drop("n")
     )
+    # A common line is a hot key, which lookup_join keeps from gathering in one task.
+    held = lookup_join(seen, materialise(confirmed, "repeated"), ["h1", "h2"], "inner")
     # One row per document with drops, which hold no more keys than it has lines.
     drops = (
-        seen.join(confirmed, ["h1", "h2"])
-        .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+        held.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("doc_id").alias("__drop_id"))
         .agg(F.collect_set(F.struct("h1", "h2")).alias("__both"))
         .select(
@@ -249,15 +256,13 @@ def line_dedup(
                 own1 = column["__h1"][part.lo : part.hi].to_pylist()
                 own2 = column["__h2"][part.lo : part.hi].to_pylist()
                 gone = np.zeros(len(lines.start), bool)
-                at = np.searchsorted(lines.owner[lines.long], np.arange(part.hi - part.lo + 1))
-                for i, keys in enumerate(own1):
-                    if keys:
-                        mine = np.arange(at[i], at[i + 1])
-                        pairs = set(zip(keys, own2[i]))
-                        firsts = lines.key[mine].view(np.int64).tolist()
-                        seconds = lines.second(mine).view(np.int64).tolist()
-                        hit = [pair in pairs for pair in zip(firsts, seconds)]
-                        gone[lines.long[mine[np.array(hit, bool)]]] = True
+                owner = lines.owner[lines.long]
+                mine = np.flatnonzero(np.array([bool(keys) for keys in own1])[owner])
+                pairs = [set(zip(a, b)) if a else () for a, b in zip(own1, own2)]
+                firsts = lines.key[mine].view(np.int64).tolist()
+                seconds = lines.second(mine).view(np.int64).tolist()
+                for line, text, *pair in zip(mine, owner[mine], firsts, seconds):
+                    gone[lines.long[line]] = tuple(pair) in pairs[text]
                 dropped = np.bincount(lines.owner[gone], minlength=part.hi - part.lo)
                 n_dropped.append(dropped)
                 whole = texts[part.lo : part.hi].to_pylist()
