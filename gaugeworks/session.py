@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SHARED: dict[str, str] = {}
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def local_session(app: str = "gaugeworks", cpus: str = "*", **conf: str) -> SparkSession:
@@ -53,5 +57,31 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a result to the shared folder once and go on from the table."""
     path = fresh_path(df.sparkSession, label)
+    held = _SCRATCH.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside are removed at the end.
+
+    What is computed from them must have been written elsewhere by then.
+    """
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            remove_path(spark, path)

@@ -35,7 +35,15 @@ def test_without_hot_keys(facts, keyed, how):
 
 def test_hot_key_does_not_shuffle_whole(facts, keyed, plan):
     text = plan(lookup_join(facts, keyed, ["k"], "left", max_rows=0))
-    assert "BroadcastHashJoin" in text and "Union" in text
+    # The few hot keys are broadcast to mark their rows, which are dealt over parts: one join.
+    assert text.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in text and "Union" not in text
+
+
+def test_hot_rows_are_dealt_over_parts(facts, keyed):
+    hot = hot_keys(facts, ["k"], 30).filter("k = 7").first()
+    assert hot["__parts"] >= 9  # a third of the rows, in parts of a thirtieth
+    big = facts.withColumn("list", F.sequence(F.lit(1), F.lit(50)))
+    assert not fits_broadcast(big.select("list"), max_bytes=6000 * 50 * 8)
 
 
 def test_hot_keys_are_few(facts):
