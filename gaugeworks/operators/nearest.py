@@ -16,6 +16,8 @@ in floating point is never wrong about the points inside the box.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -98,30 +100,35 @@ def _boxes(points: DataFrame, shift: int) -> DataFrame:
 def _inline(events: DataFrame, listed: list[Row], kind: str, lat: str, lon: str) -> DataFrame:
     """Answer each event in its row from a list of at most a few thousand sites, by gid.
 
-    Arrow batches and array arithmetic: the same as a built-in higher-order
-    function costs a hundred times as much, since Spark interprets its lambda.
+    Arrow batches and array arithmetic; the same as a built-in higher-order function
+    takes several times as long, the more the longer the list. Each different position
+    of a batch is measured once.
     """
     site_lat = np.array([r["lat"] for r in listed], dtype=float)
     site_lon = np.array([r["lon"] for r in listed], dtype=float)
-    gids = pd.Series([r["gid"] for r in listed])
+    # As objects: a float could not hold every 64-bit id.
+    gids = np.array([r["gid"] for r in listed] + [None], dtype=object)
     step = max(1, BATCH_CELLS // max(1, len(listed)))
 
     @F.pandas_udf(f"d2 double, gid {kind}")
     def nearest(lats: pd.Series, lons: pd.Series) -> pd.DataFrame:
-        at = np.column_stack([lats, lons]).astype(float)
-        d2 = np.full(len(at), np.nan)
-        best = np.full(len(at), -1)
-        usable = np.flatnonzero(np.isfinite(at).all(axis=1)) if len(listed) else []
-        for start in range(0, len(usable), step):
-            rows = usable[start : start + step]
-            d_lat = at[rows, :1] - site_lat
-            d_lon = at[rows, 1:] - site_lon
-            squares = d_lat * d_lat + d_lon * d_lon
-            # The first minimum is the lowest gid.
-            best[rows] = squares.argmin(axis=1)
-            d2[rows] = squares[np.arange(len(rows)), best[rows]]
-        found = pd.Series(best)
-        return pd.DataFrame({"d2": d2, "gid": found.map(gids)}).where(found >= 0, None)
+        lats, lons = lats.to_numpy(float, na_value=np.nan), lons.to_numpy(float, na_value=np.nan)
+        best = np.full(len(lats), len(listed))
+        d2 = np.full(len(lats), np.nan)
+        usable = np.flatnonzero(np.isfinite(lats) & np.isfinite(lons)) if len(listed) else []
+        if len(usable):
+            codes, places = pd.factorize(lats[usable] + 1j * lons[usable])
+            found, near = np.empty(len(places), int), np.empty(len(places))
+            for start in range(0, len(places), step):
+                some = places[start : start + step, None]
+                d_lat = some.real - site_lat
+                d_lon = some.imag - site_lon
+                squares = d_lat * d_lat + d_lon * d_lon
+                # The first minimum is the lowest gid.
+                found[start : start + step] = squares.argmin(axis=1)
+                near[start : start + step] = squares.min(axis=1)
+            best[usable], d2[usable] = found[codes], near[codes]
+        return pd.DataFrame({"d2": d2, "gid": pd.Series(gids[best], dtype=object)})
 
     place = nearest(F.col(lat).cast("double"), F.col(lon).cast("double"))
     return events.withColumn("__best", place).select(
@@ -190,11 +197,10 @@ def _packed_answers(
     at_lat, at_lon = F.col("__lat"), F.col("__lon")
     d2 = _square_distance(at_lat, at_lon)
     levels = _levels(points)
-    partitions = int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     numbered = positions.select(F.monotonically_increasing_id().alias("__id"), *_POSITION)
     frontier = (
         materialise(numbered, "positions")
-        .repartition(partitions, "__id")
+        .repartition("__id")
         .withColumn("__bound", F.lit(float("inf")))
         .withColumn("node", F.explode(F.array(F.lit(0).cast("bigint"))))
     )
@@ -229,48 +235,81 @@ def _packed_answers(
     )
 
 
-def nearest_site(
-    events: DataFrame,
+@dataclass(frozen=True)
+class PreparedSites:
+    """A site list made ready once, for any number of event tables or batches.
+
+    ``listed`` holds the sites if there are few, else ``points`` is the table of the
+    packed tree. ``chosen`` has the columns to take, by gid.
+    """
+
+    take: dict[str, str]
+    kind: str
+    chosen: DataFrame
+    listed: list[Row] | None
+    points: DataFrame | None
+
+
+def prepare_sites(
     sites: DataFrame,
     *,
-    lat: str = "latitude",
-    lon: str = "longitude",
     gid: str = "gid",
     site_lat: str = "latitude",
     site_lon: str = "longitude",
     take: dict[str, str] | None = None,
     strategy: str = "auto",
     inline_sites: int = INLINE_SITES,
+) -> PreparedSites:
+    """Read the sites, choose the way by their number, and pack a long list."""
+    if strategy not in ("auto", "inline", "packed"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    take = take or {"sensor_gid": gid}
+    points = _site_points(sites, gid, site_lat, site_lon)
+    kind = points.schema["gid"].dataType.simpleString()
+    chosen = sites.select(
+        F.col(gid).alias("__gid"),
+        *(F.col(src).alias(f"__take_{out}") for out, src in take.items()),
+    )
+    # One site more than may be listed tells whether all of them may.
+    listed = [] if strategy == "packed" else points.orderBy("gid").limit(inline_sites + 1).collect()
+    if strategy == "inline" and len(listed) > inline_sites:
+        raise ValueError(f"more than {inline_sites} sites for the inline strategy")
+    if strategy != "packed" and len(listed) <= inline_sites:
+        return PreparedSites(take, kind, chosen, listed, None)
+    return PreparedSites(take, kind, chosen, None, _packed_points(points))
+
+
+def nearest_site(
+    events: DataFrame,
+    sites: DataFrame | PreparedSites,
+    *,
+    lat: str = "latitude",
+    lon: str = "longitude",
     broadcast_nodes: int = BROADCAST_NODES,
     broadcast_rows: int = BROADCAST_ROWS,
     node_salts: int = NODE_SALTS,
+    **prepare: object,
 ) -> DataFrame:
     """Events with ``distance`` and the columns ``take`` (output -> site column).
 
     Site values replace event columns of the same name. Sites without a usable
     position are never chosen. Events without one keep their row, with NULLs, so
     that the caller can set them aside. ``gid`` must be unique among the sites.
+    ``sites`` is a table, made ready with the options of ``prepare_sites``, or the
+    result of that function.
     """
-    take = take or {"sensor_gid": gid}
+    if isinstance(sites, DataFrame):
+        sites = prepare_sites(sites, **prepare)
+    elif prepare:
+        raise TypeError(f"sites are prepared already: {', '.join(prepare)}")
+    take = sites.take
     events = events.drop(*(c for c in take if c in events.columns))
-    points = _site_points(sites, gid, site_lat, site_lon)
-    chosen = sites.select(
-        F.col(gid).alias("__gid"),
-        *(F.col(src).alias(f"__take_{out}") for out, src in take.items()),
-    )
     taken = [F.col(f"__take_{out}").alias(out) for out in take]
-    if strategy not in ("auto", "inline", "packed"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    # One site more than may be listed tells whether all of them may.
-    listed = [] if strategy == "packed" else points.orderBy("gid").limit(inline_sites + 1).collect()
-    if strategy == "inline" and len(listed) > inline_sites:
-        raise ValueError(f"more than {inline_sites} sites for the inline strategy")
-    if strategy != "packed" and len(listed) <= inline_sites:
-        kind = points.schema["gid"].dataType.simpleString()
-        answered = _inline(events, listed, kind, lat, lon)
-        return lookup_join(answered, chosen, ["__gid"], "left", max_rows=broadcast_rows).select(
-            *events.columns, "distance", *taken
-        )
+    if sites.listed is not None:
+        answered = _inline(events, sites.listed, sites.kind, lat, lon)
+        return lookup_join(
+            answered, sites.chosen, ["__gid"], "left", max_rows=broadcast_rows
+        ).select(*events.columns, "distance", *taken)
     usable = is_finite(lat) & is_finite(lon)
     located = events.withColumns(
         {
@@ -280,11 +319,11 @@ def nearest_site(
     )
     positions = located.select(*_POSITION).dropna().distinct()
     answers = materialise(
-        _packed_answers(positions, _packed_points(points), broadcast_nodes, node_salts), "nearest"
-    )
-    answers = lookup_join(answers, chosen, ["__gid"], "inner", max_rows=broadcast_rows).select(
-        *_POSITION, F.sqrt("d2").alias("distance"), *taken
+        _packed_answers(positions, sites.points, broadcast_nodes, node_salts), "nearest"
     )
+    answers = lookup_join(
+        answers, sites.chosen, ["__gid"], "inner", max_rows=broadcast_rows
+    ).select(*_POSITION, F.sqrt("d2").alias("distance"), *taken)
     return lookup_join(located, answers, _POSITION, "left", max_rows=broadcast_rows).select(
         *events.columns, "distance", *take
     )

@@ -1,10 +1,23 @@
 from gaugeworks.streaming.flows import (
+    compact_keys,
     deduplicated,
     enrich_messages,
+    enriched_file_stream,
+    keep_running,
     load_clean,
     rate,
     rows_processed,
     trigger_options,
 )
 
-__all__ = ["deduplicated", "enrich_messages", "load_clean", "rate", "rows_processed", "trigger_options"]
+__all__ = [
+    "compact_keys",
+    "deduplicated",
+    "enrich_messages",
+    "enriched_file_stream",
+    "keep_running",
+    "load_clean",
+    "rate",
+    "rows_processed",
+    "trigger_options",
+]

@@ -1,25 +1,32 @@
 """Streaming twins of the flows.
 
-Batches are written to ``batch_id=<n>`` folders in overwrite mode, so a batch
-that is replayed after a failure replaces its own output: each message has its
-effect once. Progress lives in the checkpoint of each query.
+Every query has an id, kept with its checkpoint. Batches are written to
+``query_id=<id>/batch_id=<n>`` folders in overwrite mode, so a batch that is
+replayed after a failure replaces its own output, and another checkpoint on the
+same target never touches it: each message has its effect once. Progress lives
+in the checkpoint of each query.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.functions import is_finite
-from gaugeworks.operators.constraints import require_rows
-from gaugeworks.operators.merge import absent_rows
-from gaugeworks.operators.nearest import nearest_site
-from gaugeworks.plans.flows import clean_events
-from gaugeworks.schemas import ENRICHED
-from gaugeworks.session import materialise
+from gaugeworks.operators.constraints import clean_row_checks, flag_violations, require_rows
+from gaugeworks.operators.dedupe import first_per_key
+from gaugeworks.operators.merge import absent_rows, to_target
+from gaugeworks.operators.nearest import nearest_site, prepare_sites
+from gaugeworks.plans.flows import split_usable, type_events
+from gaugeworks.schemas import ENRICHED, WEATHER_SENSOR_CLEAN
+from gaugeworks.session import materialise, remove_path, scratch
 from gaugeworks.sources import decode_events, scan_table
 
 # Event column -> column of the normalised site table.
@@ -40,8 +47,37 @@ def trigger_options(every: str | None = None) -> dict[str, object]:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
-def _land(df: DataFrame, path: str, batch_id: int, fmt: str) -> None:
-    df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the checkpoint: the same after every restart, another for another checkpoint."""
+    path = f"{checkpoint.rstrip('/')}-id"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = uuid.uuid4().hex
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
+    return name
+
+
+def _folder(path: str, query_id: str, batch_id: int) -> str:
+    return f"{path}/query_id={query_id}/batch_id={batch_id}"
+
+
+def _land(df: DataFrame, path: str, query_id: str, batch_id: int, fmt: str) -> None:
+    df.write.mode("overwrite").format(fmt).save(_folder(path, query_id, batch_id))
+
+
+def _count(df: DataFrame, name: str, key: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows counted while it is written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count("*").alias(key)), seen
+
+
+def _record(spark: SparkSession, out: str, query_id: str, batch_id: int, counts: dict) -> None:
+    """Counters of a batch, as data beside its output."""
+    row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} LONG" for c in counts))
+    _land(row.coalesce(1), f"{out}/counters", query_id, batch_id, "json")
 
 
 def enrich_messages(
@@ -56,26 +92,37 @@ def enrich_messages(
 
     Under ``out``: ``raw`` holds the message texts, ``enriched`` the typed rows
     with their site, ``rejected`` the messages that do not parse or have no
-    usable position. The site list must not be empty; it is read once, at the
-    start, so a replayed batch meets the same sites.
+    usable position, ``counters`` how many there were of each. The site list must
+    not be empty; it is read and made ready once, at the start, so a replayed batch
+    meets the same sites. What a batch writes in between is removed with it.
     """
-    sites = materialise(require_rows(sites, "sites"), "sites")
+    spark = messages.sparkSession
+    kept = materialise(require_rows(sites, "sites"), "sites")
+    ready = prepare_sites(kept, take=take or SITE_TAKE)
     readable = F.col("_corrupt_record").isNull()
     placed = is_finite("latitude") & is_finite("longitude")
+    query_id = _query_id(spark, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         texts = batch.select("value", F.col("value").alias("__text"))
         decoded = decode_events(texts, "value").persist()
         try:
-            _land(decoded.select(F.col("__text").alias("value")), f"{out}/raw", batch_id, "text")
-            events = decoded.filter(readable & placed).drop("__text", "_corrupt_record")
-            enriched = nearest_site(events, sites, take=take or SITE_TAKE).drop("distance")
-            _land(enriched, f"{out}/enriched", batch_id, "parquet")
-            rejected = decoded.filter(~(readable & placed)).select(
-                F.when(readable, "no position").otherwise("unreadable").alias("reason"),
-                F.col("__text").alias("value"),
-            )
-            _land(rejected, f"{out}/rejected", batch_id, "json")
+            with scratch(batch.sparkSession):
+                raw, n_raw = _count(decoded.select(F.col("__text").alias("value")), "raw", "n")
+                _land(raw, f"{out}/raw", query_id, batch_id, "text")
+                events = decoded.filter(readable & placed).drop("__text", "_corrupt_record")
+                enriched = nearest_site(events, ready).drop("distance")
+                enriched, n_enriched = _count(enriched, "enriched", "n")
+                _land(enriched, f"{out}/enriched", query_id, batch_id, "parquet")
+                rejected = decoded.filter(~(readable & placed)).select(
+                    F.when(readable, "no position").otherwise("unreadable").alias("reason"),
+                    F.col("__text").alias("value"),
+                )
+                rejected, n_rejected = _count(rejected, "rejected", "n")
+                _land(rejected, f"{out}/rejected", query_id, batch_id, "json")
+            found = {"messages": n_raw, "enriched": n_enriched, "rejected": n_rejected}
+            counts = {name: seen.get["n"] for name, seen in found.items()}
+            _record(batch.sparkSession, out, query_id, batch_id, counts)
         finally:
             decoded.unpersist()
 
@@ -83,6 +130,35 @@ def enrich_messages(
     return writer.trigger(**trigger_options(every)).start()
 
 
+KEY_BUCKETS = 1024
+COMPACT_EVERY = 100
+
+
+def compact_keys(spark: SparkSession, target: str, query_id: str, before: int) -> None:
+    """Gather the key folders of a query's batches before ``before`` into one.
+
+    Those batches are committed, so none of them is replayed. If this stops half way,
+    some keys are there twice, which changes nothing.
+    """
+    root = f"{target}/keys/query_id={query_id}"
+    held = scan_table(spark, f"{target}/keys", _KEYS).filter(
+        (F.col("query_id") == query_id) & (F.col("batch_id") < before)
+    )
+    old = [r["batch_id"] for r in held.select("batch_id").distinct().collect()]
+    if len(old) > 1:
+        _write_keys(held, f"{root}/batch_id={-before}")
+        for batch_id in old:
+            remove_path(spark, f"{root}/batch_id={batch_id}")
+
+
+_KEYS = "event_id STRING, query_id STRING, batch_id BIGINT, bucket INT"
+
+
+def _write_keys(rows: DataFrame, path: str) -> None:
+    keys = rows.select("event_id", "bucket").repartition("bucket")
+    keys.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
 def load_clean(
     enriched: DataFrame,
     target: str,
@@ -90,32 +166,74 @@ def load_clean(
     every: str | None = None,
     run_at: datetime | None = None,
     source_tz: str = "UTC",
+    sensor: DataFrame | None = None,
+    key_buckets: int = KEY_BUCKETS,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Clean each batch and append the events that no earlier batch has loaded.
+    """Clean each batch and append the loadable events that were not loaded before.
 
-    Exact over all history: the batch is checked against the key column of the
-    target and nothing is kept in state.
+    Under ``target``: ``loaded`` has the rows that pass the constraints of the final
+    table (with ``sensor`` also the reference to it), in its columns and types;
+    ``rejected`` the others with their violations; ``counters`` how many of each.
+    ``keys`` has the loaded ids in folders by hash: a batch reads only the folders of
+    its own ids, and the folders of old batches are gathered from time to time.
+    ``key_buckets`` must stay the same for a target. Exact over all history and all
+    checkpoints, one loader at a time.
     """
     spark = enriched.sparkSession
+    query_id = _query_id(spark, checkpoint)
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(key_buckets)).cast("int")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean_events(
-            batch.drop("batch_id"), run_at or datetime.now(timezone.utc), source_tz
-        ).persist()
-        try:
-            held = scan_table(spark, target, f"{_ddl(cleaned)}, batch_id BIGINT")
-            earlier = held.filter(F.col("batch_id") < batch_id).drop("batch_id")
+        session = batch.sparkSession
+        at = run_at or datetime.now(timezone.utc)
+        rows = batch.drop("batch_id", "query_id")
+        own = (F.col("query_id") == query_id) & (F.col("batch_id") >= batch_id)
+        with scratch(session):
+            typed = materialise(type_events(rows, at, source_tz), "typed")
+            usable, unusable = split_usable(typed)
+            checked = flag_violations(usable, clean_row_checks(sensor))
+            checked = materialise(checked, "checked")
+            good = F.size("violations") == 0
+            cleaned = first_per_key(checked.filter(good), ["event_id"], ["collected_at"])
+            cleaned = cleaned.drop("violations").withColumn("bucket", bucket)
+            held = scan_table(session, f"{target}/keys", _KEYS)
+            mine = [r["bucket"] for r in cleaned.select("bucket").distinct().collect()]
+            earlier = held.filter(F.col("bucket").isin(mine) & ~own)
             fresh = absent_rows(cleaned, earlier, ["event_id"], ["collected_at"])
-            _land(fresh, target, batch_id, "parquet")
-        finally:
-            cleaned.unpersist()
+            fresh = materialise(fresh, "fresh")
+            loaded, n_loaded = _count(to_target(fresh, WEATHER_SENSOR_CLEAN), "loaded", "n")
+            _land(loaded, f"{target}/loaded", query_id, batch_id, "parquet")
+            refused = unusable.unionByName(checked.filter(~good))
+            refused, n_refused = _count(refused, "rejected", "n")
+            _land(refused, f"{target}/rejected", query_id, batch_id, "parquet")
+            _write_keys(fresh, _folder(f"{target}/keys", query_id, batch_id))
+            if batch_id and batch_id % compact_every == 0:
+                compact_keys(session, target, query_id, batch_id)
+        counts = {"loaded": n_loaded.get["n"], "rejected": n_refused.get["n"]}
+        _record(session, target, query_id, batch_id, counts)
 
     writer = enriched.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(every)).start()
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+def keep_running(
+    start: Callable[[], StreamingQuery], attempts: int = 3, pause_seconds: float = 5.0
+) -> int:
+    """Start a query and start it again from its checkpoint when it fails.
+
+    Returns how often it failed before it ended well; the last failure is raised.
+    """
+    for failures in range(attempts):
+        query = start()
+        try:
+            query.awaitTermination()
+            return failures
+        except StreamingQueryException:
+            if failures + 1 == attempts:
+                raise
+            time.sleep(pause_seconds)
+    raise ValueError("attempts must be at least 1")
 
 
 def rows_processed(query: StreamingQuery) -> int:

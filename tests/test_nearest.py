@@ -4,7 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from gaugeworks.operators.nearest import nearest_site
+from gaugeworks.operators.nearest import nearest_site, prepare_sites
+from gaugeworks.session import scratch, shared_dir
 
 TAKE = {"sensor_gid": "gid", "sensor_ident": "ident"}
 WAYS = {
@@ -150,3 +151,39 @@ def test_long_lists_are_not_collected(city):
     assert (found.sensor_gid.to_numpy() == d2.argmin(axis=1)).all()
     with pytest.raises(ValueError, match="unknown"):
         nearest_site(events, sites, strategy="guess")
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,0)", "string"])
+def test_ids_of_any_type_stay_exact(spark, way, kind):
+    """Ids beyond a double's digits, with an unplaced event in the same batch."""
+    rows = [(9007199254740992, 10.0, 0.0), (9007199254740993, 1.0, 0.0), (None, 1.0, 0.0)]
+    sites = spark.createDataFrame(rows, "gid bigint, latitude double, longitude double")
+    sites = sites.withColumn("gid", sites.gid.cast(kind))
+    events = spark.createDataFrame(
+        [(1, 1.0, 0.0), (2, None, 0.0), (3, 1.0, 0.0), (4, 9.0, 0.0)], "e int, latitude double, longitude double"
+    ).coalesce(1)
+    found = nearest_site(events, sites, take={"id": "gid"}, **WAYS[way]).collect()
+    got = {r.e: None if r.id is None else str(r.id) for r in found}
+    assert got == {1: "9007199254740993", 2: None, 3: "9007199254740993", 4: "9007199254740992"}
+
+
+def test_prepared_sites_serve_many_batches(spark, city):
+    events, sites, _ = city
+    ready = prepare_sites(sites, take=TAKE, strategy="packed")
+    want = nearest_site(events, sites, take=TAKE, strategy="packed").orderBy("event_id").collect()
+    assert nearest_site(events, ready).orderBy("event_id").collect() == want
+    with pytest.raises(TypeError):
+        nearest_site(events, ready, take=TAKE)
+
+
+def test_scratch_tables_are_removed(spark, city, tmp_path):
+    import os
+
+    events, sites, _ = city
+    root = shared_dir(spark).removeprefix("file://") + "/gaugeworks"
+    ready = prepare_sites(sites, take=TAKE, strategy="packed")
+    before = set(os.listdir(root))
+    with scratch(spark):
+        nearest_site(events, ready).write.parquet(f"{tmp_path}/out")
+    assert set(os.listdir(root)) == before
