@@ -42,7 +42,8 @@ def to_instant(c: Column | str, source_tz: str = "UTC") -> Column:
     """ISO text to a point in time.
 
     Text with an offset says its zone. Text without one is read in
-    ``source_tz``, whatever the zone of the session is.
+    ``source_tz``, whatever the zone of the session is. For text only: a column that
+    is a point in time already needs no parsing (``type_events`` tells them apart).
     """
     text = strip(c)
     zone = "Z" if source_tz == "UTC" else f" {source_tz}"

@@ -246,9 +246,13 @@ def measurement_checks(sensor: DataFrame) -> list[object]:
     ]
 
 
-def clean_row_checks() -> list[object]:
-    """Row constraints of the clean event table, for typed rows before their final cast."""
+def clean_row_checks(sensor: DataFrame | None = None) -> list[object]:
+    """Constraints of the clean event table, for typed rows before their final cast."""
+    known: list[object] = []
+    if sensor is not None:
+        known.append(ReferenceCheck("sensor_gid exists", "sensor_gid", sensor, "gid"))
     return [
+        *known,
         *not_null(*REQUIRED_CLEAN),
         well_formed_uuid("event_id"),
         max_length("source", 80),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import blank_to_null, differs, outside
-from gaugeworks.operators.lookup import BROADCAST_ROWS, lookup_join
+from gaugeworks.operators.lookup import BROADCAST_ROWS, fits_broadcast, lookup_join
 from gaugeworks.schemas import METADATA
 
 MAX_DOUBLE = 1.7976931348623157e308
@@ -224,21 +224,31 @@ def _one_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
     return stacked.agg(*(F.max(n).cast("bigint").alias(n) for n in names))
 
 
-def audit(events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The eleven controls as report rows, in report order.
+def rule_counts(events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """One row: rows checked, violations of every rule but the key's, padded sources.
 
-    One pass counts every row rule and the total; a second reads only the key, a
-    third only the site columns.
+    With a canonical list that may be broadcast this is one pass over the events and
+    no shuffle. A longer list meets the events counted per variant instead.
     """
-    rules = row_rules()
-    rows = events.agg(
+    counted = {**row_rules(), "source": source_padded()}
+    canonical = canonical_rows(sensor)
+    if not fits_broadcast(canonical, max_rows):
+        rows = events.agg(
+            F.count("*").alias("checked_rows"),
+            *(F.count_if(bad).alias(key) for key, bad in counted.items()),
+        )
+        names = ["checked_rows", *counted, "metadata", "orphans"]
+        return _one_row([rows, metadata_counts(events, sensor, max_rows)], names)
+    known = F.col("__known").isNotNull()
+    counted |= {"metadata": known & metadata_differs(), "orphans": ~known}
+    joined = events.join(F.broadcast(canonical), "sensor_gid", "left")
+    return joined.agg(
         F.count("*").alias("checked_rows"),
-        *(F.count_if(bad).alias(key) for key, bad in rules.items()),
-    )
-    counts = _one_row(
-        [rows, duplicate_key_count(events), metadata_counts(events, sensor, max_rows)],
-        ["checked_rows", *CONTROLS],
+        *(F.count_if(bad).alias(key) for key, bad in counted.items()),
     )
+
+
+def _audit_report(counts: DataFrame) -> DataFrame:
     lines = F.array(
         *(
             F.struct(
@@ -261,15 +271,56 @@ def audit(events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS)
     )
 
 
+def _action_report(counts: DataFrame) -> DataFrame:
+    actions = {rule.key: rule.action for rule in VALUE_RULES}
+    actions |= {"metadata": METADATA_ACTION, "source": SOURCE_ACTION}
+    lines = F.array(
+        *(
+            F.struct(F.lit(name).alias("action"), F.col(key).alias("corrected_rows"))
+            for key, name in actions.items()
+        )
+    )
+    return counts.select(F.explode(lines).alias("line")).select("line.*").orderBy("action")
+
+
+def _all_counts(events: DataFrame, sensor: DataFrame, max_rows: int) -> DataFrame:
+    return _one_row(
+        [rule_counts(events, sensor, max_rows), duplicate_key_count(events)],
+        ["checked_rows", *CONTROLS, "source"],
+    )
+
+
+def audit(events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The eleven controls as report rows, in report order.
+
+    One pass counts every rule that looks at a row and its site; a second reads
+    only the key column.
+    """
+    return _audit_report(_all_counts(events, sensor, max_rows))
+
+
+def audit_and_actions(
+    events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Both reports from the same two passes, which are run here."""
+    counts = _all_counts(events, sensor, max_rows)
+    counts = events.sparkSession.createDataFrame([counts.first()], counts.schema)
+    return _audit_report(counts), _action_report(counts)
+
+
 def repair_metadata(
     events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Site columns of events with a known site become the canonical ones."""
+    """Site columns that differ from those of a known site become the canonical ones.
+
+    The condition is the one the report counts by, so a row it counts as unchanged
+    is unchanged.
+    """
     joined = lookup_join(events, canonical_rows(sensor), ["sensor_gid"], max_rows=max_rows)
-    known = F.col("__known").isNotNull()
+    wrong = F.col("__known").isNotNull() & metadata_differs()
     types = dict(events.dtypes)
     fixed = {
-        c: F.when(known, F.col(f"__c_{c}").cast(types[c])).otherwise(F.col(c)) for c in METADATA
+        c: F.when(wrong, F.col(f"__c_{c}").cast(types[c])).otherwise(F.col(c)) for c in METADATA
     }
     return joined.withColumns(fixed).select(*events.columns)
 
@@ -296,21 +347,7 @@ def repair_actions(
     events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Rows each correction changes, from the table as it is before the repair."""
-    actions = {rule.key: rule.action for rule in VALUE_RULES}
-    actions |= {"metadata": METADATA_ACTION, "source": SOURCE_ACTION}
-    rows = events.agg(
-        *(F.count_if(rule.bad()).alias(rule.key) for rule in VALUE_RULES),
-        F.count_if(source_padded()).alias("source"),
-    )
-    changed = metadata_counts(events, sensor, max_rows).drop("orphans")
-    counts = _one_row([rows, changed], list(actions))
-    lines = F.array(
-        *(
-            F.struct(F.lit(name).alias("action"), F.col(key).alias("corrected_rows"))
-            for key, name in actions.items()
-        )
-    )
-    return counts.select(F.explode(lines).alias("line")).select("line.*").orderBy("action")
+    return _action_report(rule_counts(events, sensor, max_rows))
 
 
 def audit_rule(

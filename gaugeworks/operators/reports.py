@@ -58,16 +58,19 @@ def profile_columns(
         ).alias("line"),
     ).select("rows", "line.*")
     if not approximate:
-        # One grouped count per column: repeated values are combined before the shuffle.
-        counted = [
-            df.select(filled(c).alias("v"))
-            .dropna()
+        # One pass for all columns: repeated values are combined before the shuffle.
+        values = F.array(
+            *(F.struct(F.lit(c).alias("column_name"), filled(c).cast("string").alias("v")) for c in columns)
+        )
+        counted = (
+            df.select(F.explode(values).alias("x"))
+            .select("x.*")
+            .filter("v IS NOT NULL")
             .distinct()
+            .groupBy("column_name")
             .agg(F.count("*").alias("distinct_values"))
-            .select(F.lit(c).alias("column_name"), "distinct_values")
-            for c in columns
-        ]
-        lines = lines.join(reduce(DataFrame.unionByName, counted), "column_name")
+        )
+        lines = lines.join(counted, "column_name", "left").fillna(0, ["distinct_values"])
     return lines.select(
         "column_name", "rows", "filled", "distinct_values", "equal_to_value", "min_value", "max_value"
     )

@@ -26,11 +26,21 @@ from gaugeworks.operators.normalize import (
 )
 from gaugeworks.operators.reports import event_rate, latest, profile_columns, stage_counts
 from gaugeworks.plans import adapters as A
-from gaugeworks.plans.flows import KEY_COLUMNS, clean_events, loadable_events, type_events
+from gaugeworks.plans.flows import (
+    KEY_COLUMNS,
+    clean_events,
+    load_inventory,
+    loadable_events,
+    quality_run,
+    type_events,
+    unusable_events,
+)
 from gaugeworks.schemas import ENRICHED_TEXT, INVENTORY_HEADER, METADATA, REQUIRED_CLEAN
-from gaugeworks.session import fresh_path
+from gaugeworks.session import fresh_path, materialise
+from gaugeworks.sinks import export_latest, land_snapshot, read_published, write_clean
 from gaugeworks.sinks.files import messages
 from gaugeworks.sources import (
+    count_lines,
     decode_events,
     flatten_payload,
     json_file_stream,
@@ -134,14 +144,41 @@ def payload_flatten(spark, sf):
     return flat.drop("collected_at")
 
 
+_LINES = "SELECT 'landed' AS source, count(*) AS lines FROM landed UNION ALL SELECT 'absent', 0"
+
+
+@query(_LINES, ("landed",))
+def landed_lines(spark, sf):
+    """Lines behind a path with a wildcard; a path that does not exist has none."""
+    path = fresh_path(spark, "lines")
+    A.landed(spark, sf).write.json(path)
+    counts = [("landed", count_lines(spark, f"{path}/*.json")), ("absent", count_lines(spark, f"{path}-no/*"))]
+    missing = read_json_lines(spark, f"{path}-no", ENRICHED_TEXT)
+    rows = spark.createDataFrame(counts, "source string, lines long")
+    return rows.unionByName(missing.select(F.col("source"), F.lit(0).cast("long").alias("lines")))
+
+
+@query(
+    f"SELECT {_STAGING}, (SELECT count(*) FROM inventory) AS landed_rows FROM inventory", ("inventory",)
+)
+def snapshot_landing(spark, sf):
+    """The raw copy of a source as landed, with the row count that landing reports."""
+    path = fresh_path(spark, "snapshot")
+    named = A.inventory(spark, sf).select(*(F.col(name).alias(header) for header, name in INVENTORY_HEADER))
+    rows = land_snapshot(named, path)
+    return read_inventory(spark, path).withColumn("landed_rows", F.lit(rows))
+
+
 # --- typing and de-duplication -----------------------------------------------
 
-_TYPED = """SELECT event_id, observed_at AS observed_us, collected_at AS collected_us, temperature_c,
-    wind_speed_kmh, precipitation_mm, sensor_gid, zone, comptage_5m FROM (
+_TYPED = """SELECT event_id, observed_at AS observed_us, collected_at AS collected_us, source, temperature_c,
+    humidity_pct, wind_speed_kmh, precipitation_mm, sensor_gid, zone, comptage_5m,
+    epoch_us(TIMESTAMP '2024-06-01 00:00:00') AS processed_us FROM (
     SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY collected_at NULLS FIRST) AS rn FROM (
     SELECT event_id, epoch_us(TRY_CAST(observed_at AS TIMESTAMP)) AS observed_at,
     epoch_us(TRY_CAST(collected_at AS TIMESTAMPTZ)) AS collected_at,
-    TRY_CAST(temperature_c AS DOUBLE) AS temperature_c, TRY_CAST(wind_speed_kmh AS DOUBLE) AS wind_speed_kmh,
+    source, TRY_CAST(temperature_c AS DOUBLE) AS temperature_c, TRY_CAST(humidity_pct AS DOUBLE) AS humidity_pct,
+    TRY_CAST(wind_speed_kmh AS DOUBLE) AS wind_speed_kmh,
     coalesce(TRY_CAST(precipitation_mm AS DOUBLE), 0) AS precipitation_mm,
     TRY_CAST(sensor_gid AS INT) AS sensor_gid, TRY_CAST(zone AS INT) AS zone,
     TRY_CAST(comptage_5m AS INT) AS comptage_5m FROM landed)
@@ -159,15 +196,70 @@ def typed_clean(spark, sf):
         "event_id",
         F.unix_micros("observed_at").alias("observed_us"),
         F.unix_micros("collected_at").alias("collected_us"),
+        "source",
         "temperature_c",
+        "humidity_pct",
         "wind_speed_kmh",
         "precipitation_mm",
         "sensor_gid",
         "zone",
         "comptage_5m",
+        F.unix_micros("processed_at").alias("processed_us"),
     )
 
 
+@query(
+    """SELECT event_id, concat_ws(', ', CASE WHEN event_id IS NULL THEN 'event_id not null' END,
+        CASE WHEN TRY_CAST(observed_at AS TIMESTAMP) IS NULL THEN 'observed_at not null' END,
+        CASE WHEN TRY_CAST(sensor_gid AS INT) IS NULL THEN 'sensor_gid not null' END) AS violations, collected_at
+       FROM (SELECT *, TRY_CAST(observed_at AS TIMESTAMP) AS o FROM landed)
+       WHERE event_id IS NULL OR o IS NULL OR TRY_CAST(sensor_gid AS INT) IS NULL""".replace(
+        "collected_at\n", "epoch_us(TRY_CAST(collected_at AS TIMESTAMPTZ)) AS collected_us\n"
+    ),
+    ("landed",),
+)
+def typed_unusable(spark, sf):
+    """Rows that cleaning sets aside, with what they lack."""
+    found = unusable_events(A.landed(spark, sf), RUN_AT)
+    return found.select(
+        "event_id",
+        F.array_join("violations", ", ").alias("violations"),
+        F.unix_micros("collected_at").alias("collected_us"),
+    )
+
+
+@query(
+    f"""SELECT event_id, observed_us, sensor_gid, zone, temperature_c, precipitation_mm, processed_us,
+        CAST(CAST(make_timestamp(observed_us) AS DATE) AS VARCHAR) AS observed_date,
+        (SELECT count(*) FROM ({_TYPED})) AS written FROM ({_TYPED})""",
+    ("landed",),
+)
+def clean_written(spark, sf):
+    """The clean table as written, one folder per day, with the row count that writing reports."""
+    path = fresh_path(spark, "clean")
+    rows = write_clean(clean_events(A.landed(spark, sf), RUN_AT), path)
+    return spark.read.parquet(path).select(
+        "event_id", F.unix_micros("observed_at").alias("observed_us"), "sensor_gid", "zone",
+        "temperature_c", "precipitation_mm", F.unix_micros("processed_at").alias("processed_us"),
+        F.col("observed_date").cast("string").alias("observed_date"), F.lit(rows).alias("written"),
+    )
+
+
+@query(
+    f"SELECT event_id, sensor_gid, zone, temperature_c FROM ({_TYPED}) ORDER BY observed_us DESC, event_id LIMIT 10",
+    ("landed",),
+)
+def latest_exported(spark, sf):
+    """The sample of the newest clean events, read back from its file."""
+    path = fresh_path(spark, "sample")
+    export_latest(clean_events(A.landed(spark, sf), RUN_AT), path)
+    rows = spark.read.option("sep", ";").option("header", True).csv(path)
+    return rows.selectExpr(
+        "event_id", "CAST(sensor_gid AS INT) AS sensor_gid", "CAST(zone AS INT) AS zone",
+        "CAST(temperature_c AS DOUBLE) AS temperature_c",
+    )
+
+
 @query(
     """SELECT event_id, row_id, user_id, value FROM (SELECT *, row_number() OVER
        (PARTITION BY event_id ORDER BY row_id DESC) AS rn FROM delivered) WHERE rn = 1""",
@@ -301,6 +393,27 @@ def nearest_packed(spark, sf):
     return _nearest(A.positioned(spark, sf), A.canonical(spark, sf), strategy="packed")
 
 
+# Ids beyond what a double can hold, and events without a position among the others.
+_BIG = "9007199254740992 + CAST(gid AS BIGINT)"
+_BIG_SITES = f"(SELECT * REPLACE ({_BIG} AS gid) FROM short_sites)"
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{way}' AS way, * FROM ({_nearest_sql(_BIG_SITES)})" for way in ("inline", "packed")
+    ),
+    ("positioned", "short_sites"),
+)
+def nearest_site_ids(spark, sf):
+    """Both ways to the nearest site, which must agree to the last digit of an id."""
+    sites = A.short_sites(spark, sf).withColumn("gid", F.expr(_BIG))
+    found = [
+        _nearest(A.positioned(spark, sf), sites, strategy=way).select(F.lit(way).alias("way"), "*")
+        for way in ("inline", "packed")
+    ]
+    return found[0].unionByName(found[1])
+
+
 # --- constraints -------------------------------------------------------------
 
 
@@ -460,6 +573,49 @@ def constraint_quarantine(spark, sf):
     return flagged.select("gid", "ident", F.array_join("violations", "; ").alias("violations"))
 
 
+_VALID_ZONES = f"SELECT zone_code FROM ({_ZONES}) GROUP BY zone_code HAVING count(*) = 1"
+_SITE_FAULTS = {
+    "gid not null": "gid IS NULL",
+    "unique (gid)": f"gid IN (SELECT gid FROM ({_SENSORS}) GROUP BY gid HAVING count(*) > 1)",
+    "unique (ident)": f"ident IN (SELECT ident FROM ({_SENSORS}) GROUP BY ident HAVING count(*) > 1)",
+    "zone_code not null": "zone_code IS NULL",
+    "latitude not null": "latitude IS NULL",
+    "longitude not null": "longitude IS NULL",
+    "type_code exists": """type_code NOT IN (SELECT trim(sensor_type) FROM inventory
+        WHERE nullif(trim(sensor_type), '') IS NOT NULL)""",
+    "zone_code exists": f"zone_code IS NOT NULL AND zone_code NOT IN ({_VALID_ZONES})",
+    "geo_shape $.type = Point": "json_extract_string(geo_shape, '$.type') <> 'Point'",
+    "mdate >= cdate": "mdate_us < cdate_us",
+}
+
+
+@query(
+    f"""SELECT 'sensor' AS part, CAST(gid AS VARCHAR) AS name, concat_ws('; ', {", ".join(
+        f"CASE WHEN {bad} THEN '{name}' END" for name, bad in sorted(_SITE_FAULTS.items())
+    )}) AS violations FROM ({_SENSORS})
+    UNION ALL SELECT 'zone', source_label, CASE WHEN zone_code NOT IN ({_VALID_ZONES})
+        THEN 'unique (zone_code)' ELSE '' END FROM ({_ZONES})""",
+    ("inventory",),
+)
+def inventory_load(spark, sf):
+    """Sites and zones of a loaded inventory file, valid or with what is wrong with them."""
+    path = fresh_path(spark, "inventory")
+    named = A.inventory(spark, sf).select(*(F.col(name).alias(header) for header, name in INVENTORY_HEADER))
+    land_snapshot(named, path)
+    tables = load_inventory(spark, path)
+
+    def judged(part, name):
+        good = tables[part].valid.withColumn("violations", F.array().cast("array<string>"))
+        rows = good.unionByName(tables[part].quarantined)
+        return rows.select(
+            F.lit(part.removeprefix("traffic_")).alias("part"),
+            F.col(name).cast("string").alias("name"),
+            F.array_join(F.array_sort("violations"), "; ").alias("violations"),
+        )
+
+    return judged("sensor", "gid").unionByName(judged("traffic_zone", "source_label"))
+
+
 # --- audit -------------------------------------------------------------------
 
 _BAD = {
@@ -581,6 +737,72 @@ def audit_after(spark, sf):
     return Q.audit(Q.repair(A.weather(spark, sf), sites), sites)
 
 
+_CHECKED = A.with_views(["weather"], "").rstrip() + f", repaired AS ({_REPAIRED}) "
+_ACTIONS_SQL = _union(
+    *(f"SELECT '{r.action}' AS name, {_issues(r.key)} AS found" for r in Q.VALUE_RULES),
+    f"SELECT '{Q.METADATA_ACTION}', {_issues('metadata')}",
+    f"SELECT '{Q.SOURCE_ACTION}', (SELECT count(*) FILTER (WHERE {_PADDED}) FROM weather)",
+)
+SQL["quality_run_reports"] = _CHECKED + _union(
+    f"SELECT 'before' AS report, control_name AS name, issue_count AS found, checked_rows FROM ({_report_sql()})",
+    f"SELECT 'actions', name, found, NULL FROM ({_ACTIONS_SQL})",
+    f"SELECT 'after', control_name, issue_count, checked_rows FROM ({_report_sql('repaired')})",
+)
+
+
+def _run_quality(spark, sf):
+    root = fresh_path(spark, "quality")
+    return root, quality_run(A.weather(spark, sf), A.canonical(spark, sf), root, RUN_AT)
+
+
+@query()
+def quality_run_reports(spark, sf):
+    """The three reports of a quality run, read back as they were written."""
+    _, done = _run_quality(spark, sf)
+
+    def report(df, label):
+        checked = F.col("checked_rows") if "checked_rows" in df.columns else F.lit(None).cast("long")
+        name, found = ("action", "corrected_rows") if label == "actions" else ("control_name", "issue_count")
+        return df.select(
+            F.lit(label).alias("report"), F.col(name).alias("name"), F.col(found).alias("found"),
+            checked.alias("checked_rows"),
+        )
+
+    parts = [report(done.before, "before"), report(done.actions, "actions"), report(done.after, "after")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_ROW_COLUMNS = ("row_id", "event_id", "source", "sensor_gid", "comptage_5m", *METADATA)
+_MEASURED_COLUMNS = tuple(rule.column for rule in Q.VALUE_RULES)
+
+
+@query(
+    f"SELECT {', '.join(_plain(c) for c in (*_ROW_COLUMNS, *_MEASURED_COLUMNS))} FROM ({_REPAIRED})", ("weather",)
+)
+def quality_run_rows(spark, sf):
+    """The repaired table as readers see it after publication."""
+    root, _ = _run_quality(spark, sf)
+    return read_published(spark, root, "events").selectExpr(
+        *(_plain(c) for c in (*_ROW_COLUMNS, *_MEASURED_COLUMNS))
+    )
+
+
+# Sites with more decimals than the target keeps: rounding alone is no difference.
+_FINE = "sensor_latitude + 0.00000001"
+
+
+@query("SELECT count(*) AS rows, 0 AS changed FROM weather", ("weather",))
+def repair_rounding(spark, sf):
+    """Rows that differ from their site by rounding only are counted and left as they are."""
+    sites = A.canonical(spark, sf)
+    sound = Q.repair(A.weather(spark, sf), sites).withColumn("sensor_latitude", F.expr(f"CAST({_FINE} AS DOUBLE)"))
+    again = Q.repair_metadata(sound, sites)
+    before = sound.select("row_id", F.col("sensor_latitude").alias("was"))
+    both = again.join(before, "row_id")
+    changed = F.sum(F.when(F.col("sensor_latitude").eqNullSafe(F.col("was")), 0).otherwise(1))
+    return both.agg(F.count("*").alias("rows"), changed.cast("int").alias("changed"))
+
+
 # --- merges ------------------------------------------------------------------
 
 # Loaded: orders before 2000. Arriving: orders since 1999, dearer, those of status F twice.
@@ -723,36 +945,59 @@ def _enriched(spark, sf):
 
 
 _NO_SITE = "event_type = 'error' AND value > 150"
+# The twin finds the sites itself, over the same short list.
+_SITE_VALUES = {
+    "sensor_gid": "gid", "sensor_ident": "s.ident", "sensor_type": "CASE WHEN gid IS NULL THEN NULL ELSE 'PONCTUEL' END",
+    "zone": "s.zone_code", "sensor_latitude": "s.latitude", "sensor_longitude": "s.longitude",
+    "sensor_label": "trim(s.ident)",
+}
 _ENRICHED_SQL = ", ".join(
-    f"{e} AS {c}"
-    for c, e in {
-        **{k: v for k, v in A.WEATHER.items() if not k.startswith("sensor_") and k != "zone"},
-        "sensor_gid": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 1 END",
-        "sensor_ident": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 'i' END",
-        "sensor_type": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 't' END",
-        "zone": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 1 END",
-        "sensor_latitude": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 1 END",
-        "sensor_longitude": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 1 END",
-        "sensor_label": f"CASE WHEN {_NO_SITE} THEN NULL ELSE 'l' END",
-    }.items()
-)
-# Every placed event agrees with its site, so one stand-in site is enough for the counts.
+    f"{e} AS {c}" for c, e in {**{k: v for k, v in A.WEATHER.items()}, **_SITE_VALUES}.items()
+)
+_ENRICHED_VIEWS = (
+    f", assigned AS ({_nearest_sql('short_sites')}), canonical AS (SELECT gid, ident, 'PONCTUEL' AS type_code,"
+    " zone_code, latitude, longitude, trim(ident) AS libelle FROM short_sites),"
+    f" weather AS (SELECT {_ENRICHED_SQL} FROM (SELECT *, event_id AS row_id FROM events) e"
+    " LEFT JOIN assigned USING (event_id) LEFT JOIN short_sites s ON s.gid = assigned.sensor_gid) "
+)
 SQL["enrich_and_audit"] = (
-    f"WITH weather AS (SELECT {_ENRICHED_SQL} FROM (SELECT *, event_id AS row_id FROM events)), canonical AS"
-    " (SELECT 1 AS gid, 'i' AS ident, 't' AS type_code, 1 AS zone_code, 1 AS latitude, 1 AS longitude,"
-    f" 'l' AS libelle) {_report_sql()}"
+    A.with_views(["positioned", "short_sites"], "").rstrip() + _ENRICHED_VIEWS + _report_sql()
+)
+SQL["enriched_sites"] = (
+    A.with_views(["positioned", "short_sites"], "").rstrip()
+    + _ENRICHED_VIEWS
+    + "SELECT row_id, sensor_gid, sensor_ident, zone, sensor_latitude, sensor_longitude, sensor_label FROM weather"
 )
 
 
 @query()
 def enrich_and_audit(spark, sf):
-    """The flagship: nearest site for every event, then the full audit of the result."""
+    """The flagship: nearest site for every event, then the full audit of the result.
+
+    The enriched rows are written once; the audit reads the columns it needs.
+    """
     events, sites = _enriched(spark, sf)
-    return Q.audit(events, sites)
+    return Q.audit(materialise(events, "enriched"), sites)
+
+
+@query()
+def enriched_sites(spark, sf):
+    """Which site each event of the flagship got, with its columns."""
+    events, _ = _enriched(spark, sf)
+    return events.select(
+        "row_id", "sensor_gid", "sensor_ident", "zone", "sensor_latitude", "sensor_longitude",
+        "sensor_label",
+    )
 
 
 @query(
-    f"""SELECT event_id, sensor_gid FROM ({_TYPED}) WHERE collected_us IS NOT NULL AND zone IS NOT NULL
+    f"""SELECT event_id, observed_us, collected_us, source, CAST(CAST(temperature_c * 100 AS DECIMAL(6,2)) AS DOUBLE)
+        AS temperature_c, CAST(CAST(humidity_pct AS DECIMAL(6,2)) AS DOUBLE) AS humidity_pct,
+        CAST(CAST(wind_speed_kmh AS DECIMAL(8,2)) AS DOUBLE) AS wind_speed_kmh,
+        CAST(CAST(precipitation_mm AS DECIMAL(8,2)) AS DOUBLE) AS precipitation_mm, sensor_gid,
+        'P52.1' AS sensor_ident, 'PONCTUEL' AS sensor_type, zone, CAST(44.8361999 AS DOUBLE) AS sensor_latitude,
+        CAST(-0.5786028 AS DOUBLE) AS sensor_longitude, 'rue' AS sensor_label, comptage_5m, processed_us
+        FROM ({_TYPED}) WHERE collected_us IS NOT NULL AND zone IS NOT NULL
         AND precipitation_mm < 1000000 AND (temperature_c IS NULL OR temperature_c < 100)""",
     ("landed",),
 )
@@ -768,7 +1013,32 @@ def loadable_rows(spark, sf):
             "temperature_c": F.col("temperature_c") * 100,
         }
     )
-    return loadable_events(cleaned).valid.select("event_id", "sensor_gid")
+    kept = loadable_events(cleaned).valid
+    decimals = [c for c, kind in kept.dtypes if kind.startswith("decimal")]
+    kept = kept.withColumns({c: F.col(c).cast("double") for c in decimals})
+    instants = {"observed_at": "observed_us", "collected_at": "collected_us", "processed_at": "processed_us"}
+    return kept.select(
+        *(F.unix_micros(c).alias(instants[c]) if c in instants else F.col(c) for c in kept.columns)
+    )
+
+
+@query(
+    f"""SELECT event_id, CASE WHEN sensor_gid NOT IN (SELECT gid FROM canonical) THEN 'sensor_gid exists' END
+        AS violation FROM ({_TYPED}) WHERE sensor_gid NOT IN (SELECT gid FROM canonical WHERE gid % 7 > 0)""".replace(
+        "FROM canonical) THEN", "FROM canonical WHERE gid % 7 > 0) THEN"
+    ),
+    ("landed", "canonical"),
+)
+def rejected_reference(spark, sf):
+    """Events whose site is not in the site table: here every seventh site is missing."""
+    cleaned = clean_events(A.landed(spark, sf), RUN_AT)
+    sites = A.canonical(spark, sf).filter("gid % 7 > 0")
+    filled = {c: F.lit("x") for c in ("sensor_ident", "sensor_type", "sensor_label")}
+    filled |= {c: F.lit(1.0) for c in ("sensor_latitude", "sensor_longitude")}
+    refused = loadable_events(cleaned.withColumns(filled), sites).quarantined
+    return refused.select("event_id", F.explode("violations").alias("violation")).filter(
+        "violation = 'sensor_gid exists'"
+    )
 
 
 # --- streaming ---------------------------------------------------------------
@@ -789,16 +1059,22 @@ def _streamed_messages(spark, sf):
     """Delivered events as JSON text files, read back as a stream in several batches."""
     path = fresh_path(spark, "messages")
     rows = A.project(A.delivered(spark, sf), _STREAMED)
-    messages(rows).repartition(4).write.text(path)
+    # Small files, whose number follows the data, so that a stream has several batches.
+    messages(rows).write.option("maxRecordsPerFile", 4000).text(path)
     return json_file_stream(spark, path, max_files=2)
 
 
-def _run_enrich(spark, sf):
+def _stream_sites(spark, sf):
+    """The short list with every column that the final table wants."""
+    return A.short_sites(spark, sf).withColumns(
+        {"type_code": F.lit("PONCTUEL"), "libelle": strip("ident"), "comptage_5m": F.lit(None).cast("int")}
+    )
+
+
+def _run_enrich(spark, sf, sites=None):
     out = fresh_path(spark, "stream")
-    take = {"sensor_gid": "gid", "sensor_ident": "ident", "zone": "zone_code"}
-    sites = A.short_sites(spark, sf)
-    running = enrich_messages(_streamed_messages(spark, sf), sites, out, f"{out}/checkpoint", take=take)
-    running.awaitTermination()
+    sites = _stream_sites(spark, sf) if sites is None else sites
+    enrich_messages(_streamed_messages(spark, sf), sites, out, f"{out}/checkpoint").awaitTermination()
     return out
 
 
@@ -820,28 +1096,108 @@ def stream_enrich(spark, sf):
     return enriched.select("event_id", "temperature_c", "sensor_gid", "sensor_ident")
 
 
+_MIRROR = {"gid": "gid + 1000000", "latitude": "-latitude", "longitude": "-longitude"}
+_LONG_SITES = (
+    "(SELECT gid, ident, latitude, longitude FROM canonical UNION ALL SELECT"
+    f" {_MIRROR['gid']}, ident, {_MIRROR['latitude']}, {_MIRROR['longitude']} FROM canonical)"
+)
+
+
 @query(
-    f"""SELECT event_id, epoch_us(observed_at) AS observed_us, temperature_c, sensor_gid FROM (
-        SELECT DISTINCT {A.LANDED["event_id"]} AS event_id, ts AS observed_at, value AS temperature_c, sensor_gid
-        FROM delivered JOIN ({_nearest_sql("short_sites")}) USING (event_id) WHERE NOT ({_NO_SITE}))""",
-    ("delivered", "positioned", "short_sites"),
+    f"""SELECT {A.LANDED["event_id"]} AS event_id, sensor_gid, sensor_ident
+        FROM delivered JOIN ({_nearest_sql(_LONG_SITES)}) USING (event_id) WHERE NOT ({_NO_SITE})""",
+    ("delivered", "positioned", "canonical"),
+)
+def stream_enrich_long(spark, sf):
+    """Stream against a list that is too long for the inline way: it is packed once."""
+    sites = A.canonical(spark, sf).withColumn("comptage_5m", F.lit(None).cast("int"))
+    both = sites.unionByName(sites.withColumns({c: F.expr(e) for c, e in _MIRROR.items()}))
+    enriched = spark.read.parquet(f"{_run_enrich(spark, sf, both)}/enriched")
+    return enriched.select("event_id", "sensor_gid", "sensor_ident")
+
+
+@query(
+    f"""SELECT 'messages' AS counter, count(*) AS n FROM delivered UNION ALL SELECT 'enriched',
+        count(*) FILTER (WHERE NOT ({_NO_SITE})) FROM delivered UNION ALL SELECT 'rejected',
+        count(*) FILTER (WHERE {_NO_SITE}) FROM delivered""",
+    ("delivered",),
 )
+def stream_counters(spark, sf):
+    """What the enriching stream counted, added up over its batches."""
+    found = spark.read.json(f"{_run_enrich(spark, sf)}/counters")
+    names = ("messages", "enriched", "rejected")
+    sums = found.agg(*(F.sum(c).alias(c) for c in names))
+    lines = F.array(*(F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in names))
+    return sums.select(F.explode(lines).alias("x")).select("x.*")
+
+
+_BAD_TIME = "event_type = 'error' AND value > 120"
+_LOADED = f"""SELECT event_id, epoch_us(observed_at) AS observed_us,
+    CAST(CAST(temperature_c AS DECIMAL(6,2)) AS DOUBLE) AS temperature_c, sensor_gid, zone_code AS zone FROM (
+    SELECT DISTINCT {A.LANDED["event_id"]} AS event_id, ts AS observed_at, value AS temperature_c, sensor_gid
+    FROM delivered JOIN ({_nearest_sql("short_sites")}) USING (event_id) WHERE NOT ({_NO_SITE})
+    AND NOT ({_BAD_TIME})) JOIN short_sites ON gid = sensor_gid"""
+
+
+def _load(spark, out, target, checkpoint, glob="*"):
+    schema = spark.read.parquet(f"{out}/enriched").drop("query_id", "batch_id").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
+    stream = reader.option("recursiveFileLookup", True).parquet(f"{out}/enriched/query_id=*/batch_id={glob}")
+    load_clean(stream, target, checkpoint, run_at=RUN_AT).awaitTermination()
+
+
+def _loaded(spark, target):
+    return spark.read.parquet(f"{target}/loaded").select(
+        "event_id", F.unix_micros("observed_at").alias("observed_us"),
+        F.col("temperature_c").cast("double").alias("temperature_c"), "sensor_gid", "zone",
+    )
+
+
+_STREAM_VIEWS = ("delivered", "positioned", "short_sites")
+
+
+@query(_LOADED, _STREAM_VIEWS)
 def stream_load(spark, sf):
-    out = _run_enrich(spark, sf)
-    landed = spark.read.parquet(f"{out}/enriched").drop("batch_id")
-    reader = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 2)
-    stream = reader.parquet(f"{out}/enriched").withColumn("comptage_5m", F.lit(None).cast("int"))
-    target = fresh_path(spark, "clean")
-    load_clean(stream, target, f"{target}-checkpoint", run_at=RUN_AT).awaitTermination()
-    return spark.read.parquet(target).select(
-        "event_id", F.unix_micros("observed_at").alias("observed_us"), "temperature_c", "sensor_gid"
-    )
+    out, target = _run_enrich(spark, sf), fresh_path(spark, "clean")
+    _load(spark, out, target, f"{target}-checkpoint")
+    return _loaded(spark, target)
+
+
+@query(_LOADED, _STREAM_VIEWS)
+def stream_load_resumed(spark, sf):
+    """Two checkpoints on one target: the second meets what the first has loaded."""
+    out, target = _run_enrich(spark, sf), fresh_path(spark, "clean")
+    _load(spark, out, target, f"{target}-checkpoint-a", "0")
+    _load(spark, out, target, f"{target}-checkpoint-b")
+    return _loaded(spark, target)
+
+
+@query(
+    f"""SELECT {A.LANDED["event_id"]} AS event_id, 'collected_at not null' AS violations
+        FROM delivered WHERE NOT ({_NO_SITE}) AND {_BAD_TIME}""",
+    ("delivered",),
+)
+def stream_load_rejected(spark, sf):
+    """Rows that the final table refuses, kept beside it with the reason."""
+    out, target = _run_enrich(spark, sf), fresh_path(spark, "clean")
+    _load(spark, out, target, f"{target}-checkpoint")
+    rejected = spark.read.parquet(f"{target}/rejected")
+    return rejected.select("event_id", F.array_join("violations", ", ").alias("violations"))
 
 
 def _event_stream(spark, sf):
-    schema = A.table(spark, sf, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf).withColumn("at", ntz_instant("ts"))
+    """Events in files by time, one file per micro-batch, so state and watermark cross batches."""
+    events = A.table(spark, sf, "events")
+    path = fresh_path(spark, "event-files")
+    low, high = events.select(F.unix_micros(ntz_instant("ts")).alias("t")).agg(F.min("t"), F.max("t")).first()
+    step = (high - low) // 4 + 1
+    for part in range(4):  # in this order, as they would arrive
+        at = F.unix_micros(ntz_instant("ts"))
+        rows = events.filter((at >= low + part * step) & (at < low + (part + 1) * step))
+        rows.coalesce(1).write.parquet(f"{path}/part={part}")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    reader = reader.option("recursiveFileLookup", True)
+    return reader.parquet(path).withColumn("at", ntz_instant("ts"))
 
 
 def _drain(stream, label, mode="append"):

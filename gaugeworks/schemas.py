@@ -63,14 +63,11 @@ WEATHER_SENSOR_CLEAN = {
 NULLABLE_CLEAN = ("temperature_c", "humidity_pct", "wind_speed_kmh", "comptage_5m")
 REQUIRED_CLEAN = tuple(c for c in WEATHER_SENSOR_CLEAN if c not in NULLABLE_CLEAN)
 
-SENSOR_TYPE = "code STRING, label STRING"
-TRAFFIC_ZONE = "zone_code INT, source_label STRING"
 SENSOR = (
     "gid INT, ident STRING, libelle STRING, type_code STRING, zone_code INT,"
     " latitude DECIMAL(10,7), longitude DECIMAL(10,7), geo_point_source STRING,"
     " geo_shape STRING, cdate TIMESTAMP, mdate TIMESTAMP"
 )
-SENSOR_MEASUREMENT = "sensor_gid INT, comptage_5m INT, observed_at TIMESTAMP"
 
 # Event column -> canonical column it must agree with.
 METADATA = {

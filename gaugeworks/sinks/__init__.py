@@ -2,6 +2,7 @@ from gaugeworks.sinks.files import (
     export_latest,
     land_snapshot,
     publish_messages,
+    read_report,
     write_clean,
     write_json_lines,
     write_report,
@@ -16,6 +17,7 @@ __all__ = [
     "publish",
     "publish_messages",
     "read_published",
+    "read_report",
     "write_clean",
     "write_json_lines",
     "write_report",

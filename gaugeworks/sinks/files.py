@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -26,11 +26,15 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def land_snapshot(df: DataFrame, path: str) -> int:
-    """Replace the raw copy of a source and return its row count, counted while writing."""
+    """Replace the raw copy of a source and return its row count, counted while writing.
+
+    Values are kept as they are, blanks at their ends too.
+    """
     seen = Observation("snapshot")
-    df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").option(
-        "sep", ";"
-    ).option("header", True).option("escape", '"').csv(path)
+    writer = df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite")
+    writer = writer.option("sep", ";").option("header", True).option("escape", '"')
+    writer = writer.option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(path)
     return seen.get["rows"]
 
 
@@ -58,9 +62,17 @@ def export_latest(df: DataFrame, path: str, n: int = 10) -> None:
 def write_report(df: DataFrame, folder: str, report: str, run_at: datetime) -> str:
     """One CSV with a header under ``folder/report=…/run_ts=…``; older runs stay.
 
-    For reports of a fixed number of lines: they go through one task.
+    For reports of a fixed number of lines: they go through one task. A time without
+    a zone is UTC.
     """
-    stamp = run_at.strftime("%Y%m%dT%H%M%S.%fZ")
+    run_at = run_at.astimezone(timezone.utc) if run_at.tzinfo else run_at
+    stamp = run_at.strftime("%Y%m%dT%H%M%S.%fZ")  # fixed value: the form of the run's name
     path = f"{folder}/report={report}/run_ts={stamp}"
     df.coalesce(1).write.option("header", True).csv(path)
     return path
+
+
+def read_report(path: str, like: DataFrame) -> DataFrame:
+    """A written report, in the columns and types of the frame it was written from."""
+    rows = like.sparkSession.read.schema(like.schema).option("header", True).csv(path)
+    return rows.coalesce(1)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.schemas import EVENT, INVENTORY_RAW, PAYLOAD
 
@@ -21,12 +22,13 @@ def read_inventory(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: str = INVENTORY_RAW,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Semicolon CSV with a header to all-text staging rows; empty fields are NULL.
 
-    Columns are taken by position. A byte order mark is dropped, doubled quotes
-    are an escaped quote, and quoted values may span lines.
+    Columns are taken by position. A byte order mark is dropped and doubled quotes
+    are an escaped quote. ``multi_line`` lets quoted values span lines; each file is
+    then read by one task, so it is off unless asked for.
     """
     return (
         spark.read.schema(schema)
@@ -65,12 +67,12 @@ def decode_events(df: DataFrame, value: str | Column = "value", schema: str = EV
         f"{schema}, {CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    fields = [part.split()[0] for part in schema.split(", ")]
+    fields = T.StructType.fromDDL(schema).names
     rows = df.select(*keep, parsed.alias("__e"))
     bad = F.col(f"__e.{CORRUPT}")
     return rows.select(
         *keep,
-        *(F.when(bad.isNull(), F.col(f"__e.{f}")).alias(f) for f in fields),
+        *(F.when(bad.isNull(), F.col(f"__e.`{f}`")).alias(f) for f in fields),
         bad.alias(CORRUPT),
     )
 

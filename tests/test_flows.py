@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.constraints import ConstraintError
-from gaugeworks.plans.flows import clean_events, loadable_events
+from gaugeworks.plans.flows import clean_events, loadable_events, type_events
 from gaugeworks.schemas import ENRICHED, ENRICHED_TEXT, EVENT, WEATHER_SENSOR_CLEAN
 from gaugeworks.session import shared_dir
 from gaugeworks.sinks import (
@@ -32,7 +32,15 @@ from gaugeworks.sources import (
     split_corrupt,
 )
 from gaugeworks.sources.tables import register_views
-from gaugeworks.streaming import deduplicated, enrich_messages, load_clean, rate, rows_processed
+from gaugeworks.streaming import (
+    compact_keys,
+    deduplicated,
+    enrich_messages,
+    keep_running,
+    load_clean,
+    rate,
+    rows_processed,
+)
 from gaugeworks.streaming.flows import enriched_file_stream
 
 RUN = datetime(2026, 9, 25, 17, 0, tzinfo=timezone.utc)
@@ -214,11 +222,11 @@ def test_stream_enrich_and_load(spark, sites, tmp_path):
     run()
     run()
     assert read == [8, 2, 0]
-    assert count_lines(spark, f"{out}/raw") == 10
+    assert spark.read.text(f"{out}/raw").count() == 10
     assert spark.read.parquet(f"{out}/enriched").count() == 8
     reasons = spark.read.json(f"{out}/rejected").groupBy("reason").count()
     assert {tuple(r) for r in reasons.collect()} == {("unreadable", 1), ("no position", 1)}
-    clean = spark.read.parquet(f"{tmp_path}/clean")
+    clean = spark.read.parquet(f"{tmp_path}/clean/loaded")
     assert sorted(r.event_id[-1] for r in clean.collect()) == list("012345")
     assert {r.sensor_gid for r in clean.collect()} == {2615}
 
@@ -245,3 +253,85 @@ def test_stream_dedup_and_rate(spark, tmp_path):
     final = drain(rate(stream, "at", "10 minutes"), "rate").orderBy("window_start").collect()
     assert [r.events for r in final] == [10] * 7
     assert final[0].events_per_second == 10 / 300
+
+
+def test_second_checkpoint_keeps_what_was_loaded(spark, sites, tmp_path):
+    """Another checkpoint on the same target neither overwrites nor repeats."""
+    rows = [{**event(n), **SITE} for n in range(3)]
+    target = f"{tmp_path}/clean"
+    for name, some in (("a", rows[:2]), ("b", rows[1:])):
+        path = lines(tmp_path / f"{name}.jsonl", *some)
+        batch = read_json_lines(spark, path, ENRICHED).drop("_corrupt_record")
+        batch.write.parquet(f"{tmp_path}/in-{name}")
+        stream = spark.readStream.schema(batch.schema).parquet(f"{tmp_path}/in-{name}")
+        load_clean(stream, target, f"{tmp_path}/cp-{name}", run_at=RUN).awaitTermination()
+    loaded = spark.read.parquet(f"{target}/loaded")
+    assert sorted(r.event_id[-1] for r in loaded.collect()) == list("012")
+    assert loaded.drop("query_id", "batch_id").dtypes == list(WEATHER_SENSOR_CLEAN.items())
+    counters = spark.read.json(f"{target}/counters").groupBy().sum("loaded", "rejected").first()
+    assert tuple(counters) == (3, 0)
+
+
+def test_gate_on_the_stream(spark, sites, tmp_path):
+    rows = [{**event(1), **SITE, "zone": None, "comptage_5m": -5}, {**event(2), **SITE}, {**event(3), **SITE, "sensor_gid": 77}]
+    path = lines(tmp_path / "e.jsonl", *rows)
+    batch = read_json_lines(spark, path, ENRICHED).drop("_corrupt_record")
+    batch.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(batch.schema).parquet(f"{tmp_path}/in")
+    load_clean(stream, f"{tmp_path}/t", f"{tmp_path}/cp", run_at=RUN, sensor=sites).awaitTermination()
+    assert [r.event_id[-1] for r in spark.read.parquet(f"{tmp_path}/t/loaded").collect()] == ["2"]
+    reasons = {r.event_id[-1]: sorted(r.violations) for r in spark.read.parquet(f"{tmp_path}/t/rejected").collect()}
+    assert reasons == {"1": ["comptage_5m >= 0", "zone not null"], "3": ["sensor_gid exists"]}
+
+
+def test_compacted_keys_still_count(spark, tmp_path):
+    rows = [{**event(n), **SITE} for n in range(4)]
+    target = f"{tmp_path}/t"
+
+    def load(name, some):
+        batch = read_json_lines(spark, lines(tmp_path / f"{name}.jsonl", *some), ENRICHED).drop("_corrupt_record")
+        batch.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(batch.schema).parquet(f"{tmp_path}/in")
+        load_clean(stream, target, f"{tmp_path}/cp", run_at=RUN).awaitTermination()
+
+    load("a", rows[:1])
+    load("b", rows[1:2])
+    held = spark.read.parquet(f"{target}/keys")
+    query_id = held.first()["query_id"]
+    compact_keys(spark, target, query_id, 2)
+    held = spark.read.parquet(f"{target}/keys")
+    assert held.count() == 2 and held.select("batch_id").distinct().count() == 1
+    load("c", rows)
+    assert spark.read.parquet(f"{target}/loaded").count() == 4
+
+
+def test_failed_query_is_started_again(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    failures = []
+
+    def handle(batch, batch_id):
+        if len(failures) < 2:
+            failures.append(batch_id)
+            raise RuntimeError("not yet")
+        batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
+
+    def start():
+        stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+        writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{tmp_path}/cp")
+        return writer.trigger(availableNow=True).start()
+
+    assert keep_running(start, attempts=4, pause_seconds=0) == 2
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
+def test_instants_of_typed_columns(spark):
+    """A point in time is taken as it is, whatever the session's zone."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        row = spark.sql("SELECT timestamp'2026-09-25 16:15:00Z' AS t, timestamp_ntz'2026-09-25 16:15:00' AS u")
+        texts = {c: F.lit(None).cast("string") for c in ("temperature_c", "humidity_pct", "wind_speed_kmh", "precipitation_mm", "sensor_gid", "zone", "comptage_5m")}
+        typed = type_events(row.select(F.col("t").alias("observed_at"), F.col("u").alias("collected_at")).withColumns(texts), RUN)
+        found = typed.select(F.unix_micros("observed_at"), F.unix_micros("collected_at")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found[0] == found[1] == 1790352900000000

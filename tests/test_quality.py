@@ -203,7 +203,7 @@ def test_one_scan_counts_all_row_rules(spark, sensor, plan, tmp_path):
     table(spark, {}, {}).write.parquet(f"{tmp_path}/t")
     text = plan(Q.audit(spark.read.parquet(f"{tmp_path}/t"), sensor))
     scans = [line for line in text.splitlines() if "FileScan" in line]
-    assert len(scans) == 3
+    assert len(scans) == 2
     assert sum("ReadSchema: struct<event_id:string>" in line for line in scans) == 1
 
 
@@ -221,3 +221,12 @@ def test_quality_run(spark, sensor, tmp_path):
         assert spark.read.option("header", True).csv(report).count() in (6, 11)
     line = spark.read.option("header", True).csv(first.reports[0]).first()
     assert line.policy == "Weather fields are optional; absence is reported, not imputed."
+
+
+def test_rounding_alone_is_not_repaired(spark, sensor):
+    """The correction changes the rows that its report counts, and no others."""
+    df = table(spark, {}, {}).withColumn("sensor_latitude", F.col("sensor_latitude").cast("double") + 1e-8)
+    fixed = Q.repair_metadata(df, sensor)
+    changed = Q.repair_actions(df, sensor).filter("action LIKE 'Restore%'").first().corrected_rows
+    assert changed == 0
+    assert fixed.select("sensor_latitude").collect() == df.select("sensor_latitude").collect()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import constraints as C
-from gaugeworks.operators.merge import absent_rows, insert_if_absent, to_target, upsert
+from gaugeworks.operators.merge import absent_rows, insert_if_absent, to_target, upsert, without_key
 from gaugeworks.operators.normalize import (
     count_by,
     keep_children,
@@ -20,6 +20,7 @@ from gaugeworks.operators.normalize import (
 from gaugeworks.operators.reports import event_rate, latest, profile_columns, stage_counts
 from gaugeworks.plans.flows import load_inventory
 from gaugeworks.schemas import INVENTORY_RAW
+from gaugeworks.sources import decode_events
 
 POINT = '{"coordinates":[-0.578552,44.8362039],"type":"Point"}'
 MADE, CHANGED = "2021-04-28T12:57:13+02:00", "2026-09-24T10:15:00+02:00"
@@ -142,11 +143,11 @@ def test_load_inventory(spark, tmp_path):
     text = (
         "﻿Geo Point;Geo Shape;gid;libelle;ident;type;zone;comptage_5m;cdate;mdate\n"
         '"44.8362039, -0.578552";"{""coordinates"":[-0.578552,44.8362039],""type"":""Point""}";2616;'
-        f'"18 rue\nMaréchal; 1";P52.2;PONCTUEL;0;;{MADE};{CHANGED}\n'
+        f'"Quai\nnord; é";P52.2;PONCTUEL;0;;{MADE};{CHANGED}\n'
         f'"44.8, -0.5";"{{""type"":""Point""}}";2617;x;P52.3;PONCTUEL;0;12;{MADE};{CHANGED}\n'
     )
     (tmp_path / "sites.csv").write_text(text, encoding="utf-8")
-    tables = load_inventory(spark, str(tmp_path / "sites.csv"))
+    tables = load_inventory(spark, str(tmp_path / "sites.csv"), multi_line=True)
     assert {name: (t.valid.count(), t.quarantined.count()) for name, t in tables.items()} == {
         "sensor_type": (1, 0),
         "traffic_zone": (1, 0),
@@ -154,7 +155,7 @@ def test_load_inventory(spark, tmp_path):
         "sensor_measurement": (1, 0),
     }
     labels = {r.libelle for r in tables["sensor"].valid.collect()}
-    assert labels == {"18 rue\nMaréchal; 1", "x"}
+    assert labels == {"Quai\nnord; é", "x"}
 
 
 def test_insert_if_absent_twice_is_once(spark):
@@ -216,3 +217,26 @@ def test_sliding_rate_equals_brute_force(spark):
     assert found == want
     with pytest.raises(ValueError, match="multiple"):
         event_rate(df, "at", 300, 7)
+
+
+def test_zone_written_in_two_ways(spark, tmp_path):
+    """No site is valid whose zone is not."""
+    head = "Geo Point;Geo Shape;gid;libelle;ident;type;zone;comptage_5m;cdate;mdate\n"
+    point = '"1, 2";"{""type"":""Point""}"'
+    rows = "".join(f"{point};{g};l;P{g};T;{z};;{MADE};{CHANGED}\n" for g, z in ((1, "1"), (2, "01"), (3, "2")))
+    (tmp_path / "sites.csv").write_text(head + rows, encoding="utf-8")
+    tables = load_inventory(spark, str(tmp_path / "sites.csv"))
+    zones = {r.zone_code for r in tables["traffic_zone"].valid.collect()}
+    sites = {(r.gid, r.zone_code) for r in tables["sensor"].valid.collect()}
+    assert zones == {2} and sites == {(3, 2)}
+
+
+def test_rows_without_key_are_kept_apart(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    assert [r.v for r in without_key(rows, ["k"]).collect()] == ["b"]
+
+
+def test_decimal_fields_in_messages(spark):
+    texts = spark.createDataFrame([('{"a": 1.5, "b": "x"}',)], "value string")
+    (row,) = decode_events(texts, schema="a DECIMAL(10, 7), b STRING").collect()
+    assert float(row.a) == 1.5 and row.b == "x"
