@@ -11,10 +11,11 @@ sets near a power of two are also indexed with the next one's number). Tokens th
 alone has are at the front of the order and are not indexed at all.
 
 Candidates come without all pairs of a group: first each set is verified against one set, that
-which shares most signatures with it among the smallest sets of its signatures. Verified links
-give components. Only signatures that still hold several components are looked at again, and there
-only pairs across components. Groups of copies are one component by then. Every pair that could
-join two components is verified, so the components are exact.
+which shares most signatures with it among the hubs of its signatures. Verified links give
+components. Only signatures that still hold several components are looked at again, and there only
+pairs across components that their sizes, the tokens of their own and 512-bit parity bitmaps leave
+possible; these bounds never rule out a link. Groups of copies are one component by then. Every
+pair that could join two components is verified, so the components are exact.
 
 Words are lower-cased in A-Z and split at ASCII white space. With fewer words than n the whole
 sequence is the one n-gram; null or empty text, or one without words, has no set, links with
@@ -326,7 +327,10 @@ def _combine(last, acc, left, key, tag, place, owner, out_rows, out, at=None) ->
 
 
 def indexed_sets(texts: DataFrame, order: dict, width: int, percent: int, classes) -> DataFrame:
-    """(v, n, signatures, tokens) of sets with a signature; a task gives equal sets once."""
+    """Sets with a signature: v, n, own (tokens that no other set has), bitmap, signatures, tokens.
+
+    A task gives equal sets once.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,9 +338,11 @@ def indexed_sets(texts: DataFrame, order: dict, width: int, percent: int, classe
         for batch in batches:
             for part in K.slices(batch.column(0)):
                 sets = Sets(part, width)
+                level = ranks.levels(sets.key)
                 rows, found = signatures(
-                    sets.key, sets.row, sets.size, ranks.levels(sets.key), percent, classes
+                    sets.key, sets.row, sets.size, level, percent, classes
                 )
+                alone = np.bincount(sets.row[level == 0], minlength=len(sets.size))
                 cut = np.searchsorted(rows, np.arange(len(sets.size) + 1))
                 out = []
                 for i in np.flatnonzero(np.diff(cut)):
@@ -344,42 +350,87 @@ def indexed_sets(texts: DataFrame, order: dict, width: int, percent: int, classe
                     if v not in seen:
                         seen.add(v)
                         mine = found[cut[i] : cut[i + 1]].view(np.int64)
-                        out.append((v, int(sets.size[i]), mine, P.pack(sets.of(i))))
+                        bits = bitmap(sets.of(i)).tolist()
+                        tokens = P.pack(sets.of(i))
+                        out.append((v, int(sets.size[i]), int(alone[i]), *bits, mine, tokens))
                 if len(seen) > 200_000:
                     seen.clear()
-                kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-                columns = zip(*out) if out else [()] * 4
+                kinds = [pa.binary()] + [pa.int64()] * (2 + len(_BITS))
+                kinds += [pa.list_(pa.int64()), pa.binary()]
+                columns = zip(*out) if out else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                    ["v", "n", "signatures", "tokens"],
+                    ["v", "n", "own", *_BITS, "signatures", "tokens"],
                 )
 
+    bits = ", ".join(f"{b} long" for b in _BITS)
     return texts.select("text").mapInArrow(
-        run, "v binary, n long, signatures array<long>, tokens binary"
+        run, f"v binary, n long, own long, {bits}, signatures array<long>, tokens binary"
     )
 
 
-def smallest_partners(held: DataFrame) -> DataFrame:
-    """(v, w): for each set that one which shares most signatures, of their smallest sets."""
-    first = held.groupBy("s").agg(F.min("v").alias("w"), F.max("v").alias("top"))
-    return (
-        held.join(first.filter("w <> top").drop("top"), "s")
+_BITS = tuple(f"b{i}" for i in range(8))
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the tokens that fall on it: what differs in two sets' bitmaps
+    differs in the sets."""
+    places = (K.mix(tokens ^ K._A) & np.uint64(511)).astype(np.int64)
+    odd = (np.bincount(places, minlength=512) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def _other(meta: DataFrame) -> DataFrame:
+    """``meta`` under the names of the second set of a pair."""
+    return meta.withColumnsRenamed({c: f"w_{c}" for c in meta.columns if c != "v"}).withColumnRenamed(
+        "v", "w"
+    )
+
+
+def may_link(percent: int):
+    """Whether two sets can link by their sizes, own tokens and bitmaps. Exact in one direction."""
+    n, m = F.col("n"), F.col("w_n")
+    need = F.floor((percent * (n + m) + (100 + percent) - 1) / (100 + percent))
+    apart = sum(
+        (F.bit_count(F.col(b).bitwiseXOR(F.col(f"w_{b}"))) for b in _BITS), F.lit(0)
+    )
+    reach = F.least(n - F.col("own"), m - F.col("w_own"))
+    return (reach >= need) & (apart <= n + m - 2 * need)
+
+
+def best_partners(held: DataFrame, meta: DataFrame, percent: int) -> DataFrame:
+    """(v, w): for each set the one that shares most signatures with it, of their hubs.
+
+    The hub of a signature is its set with fewest tokens of its own: the likely origin of copies.
+    """
+    hub = F.min(F.struct("own", "v"))
+    first = held.groupBy("s").agg(hub.alias("hub"), F.min("v").alias("low"), F.max("v").alias("top"))
+    pairs = (
+        held.join(first.filter("low <> top").select("s", F.col("hub.v").alias("w")), "s")
         .filter("v <> w")
         .groupBy("v", "w")
         .agg(F.count("*").alias("together"))
+    )
+    known = lookup_join(lookup_join(pairs, meta, ["v"], "inner"), _other(meta), ["w"], "inner")
+    return (
+        known.filter(may_link(percent))
         .groupBy("v")
         .agg(F.max_by("w", F.struct("together", "w")).alias("w"))
     )
 
 
-def across_components(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(v, w) pairs of sets of different components that share a signature, by size possible."""
+def across_components(
+    held: DataFrame, labels: DataFrame, meta: DataFrame, percent: int
+) -> DataFrame:
+    """(v, w) pairs of sets of different components that share a signature and may link."""
     several = (
         held.groupBy("s").agg(F.min("v").alias("low"), F.max("v").alias("top")).filter("low <> top")
     )
-    marked = lookup_join(held.join(several.select("s"), "s", "left_semi"), labels, ["v"])
-    marked = marked.select("s", "v", "n", F.coalesce("root", "v").alias("root"))
-    marked = materialise(marked, "marked")
+    marked = held.select("s", "v").join(several.select("s"), "s", "left_semi")
+    marked = lookup_join(marked, labels, ["v"])
+    marked = materialise(
+        marked.select("s", "v", F.coalesce("root", "v").alias("root")), "marked"
+    )
     main = (
         marked.groupBy("s", "root")
         .agg(F.count("*").alias("n"))
@@ -388,16 +439,15 @@ def across_components(held: DataFrame, labels: DataFrame, percent: int) -> DataF
         .filter("roots > 1")
         .drop("roots")
     )
-    open_ = marked.join(main, "s")
+    open_ = lookup_join(marked.join(main, "s"), meta, ["v"], "inner")
+    open_ = materialise(open_, "open")
     # Each pair has a side outside the signature's main component.
-    few = open_.filter("root <> main").select(
-        "s", F.col("v").alias("w"), F.col("n").alias("m"), F.col("root").alias("other")
+    few = _other(open_.filter("root <> main").drop("main")).withColumnsRenamed(
+        {"w_s": "s", "w_root": "other"}
     )
-    low, high = F.least("n", "m"), F.greatest("n", "m")
     return (
         open_.join(few, "s")
-        .filter("root <> other AND (root = main OR v < w)")
-        .filter(100 * low >= percent * high)
+        .filter(F.expr("root <> other AND (root = main OR v < w)") & may_link(percent))
         .select(F.least("v", "w").alias("v"), F.greatest("v", "w").alias("w"))
         .distinct()
     )
@@ -444,13 +494,13 @@ def jaccard_components(
     order = token_order(found, bits, max_listed)
     indexed = materialise(indexed_sets(texts, order, words, percent, classes), "indexed")
     sets = indexed.select("v", "tokens").dropDuplicates(["v"])
-    held = (
-        indexed.select("v", "n", F.explode("signatures").alias("s")).dropDuplicates(["s", "v"])
-    )
-    held = materialise(held, "signatures")
-    links = materialise(verified(smallest_partners(held), sets, percent), "first-links")
+    meta = indexed.select("v", "n", "own", *_BITS).dropDuplicates(["v"])
+    meta = materialise(meta, "set-bitmaps")
+    held = indexed.select("v", "own", F.explode("signatures").alias("s"))
+    held = materialise(held.dropDuplicates(["s", "v"]), "signatures")
+    links = materialise(verified(best_partners(held, meta, percent), sets, percent), "first-links")
     labels = components(links)
-    more = across_components(held, labels, percent)
+    more = across_components(held, labels, meta, percent)
     more = materialise(verified(more, sets, percent), "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
