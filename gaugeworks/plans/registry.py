@@ -1132,7 +1132,7 @@ def stream_counters(spark, sf):
 
 
 _BAD_TIME = "event_type = 'error' AND value > 120"
-_LOADED = f"""SELECT event_id, epoch_us(observed_at) AS observed_us,
+_LOADED_EVENTS = f"""SELECT event_id, epoch_us(observed_at) AS observed_us,
     CAST(CAST(temperature_c AS DECIMAL(6,2)) AS DOUBLE) AS temperature_c, sensor_gid, zone_code AS zone FROM (
     SELECT DISTINCT {A.LANDED["event_id"]} AS event_id, ts AS observed_at, value AS temperature_c, sensor_gid
     FROM delivered JOIN ({_nearest_sql("short_sites")}) USING (event_id) WHERE NOT ({_NO_SITE})
@@ -1156,14 +1156,14 @@ def _loaded(spark, target):
 _STREAM_VIEWS = ("delivered", "positioned", "short_sites")
 
 
-@query(_LOADED, _STREAM_VIEWS)
+@query(_LOADED_EVENTS, _STREAM_VIEWS)
 def stream_load(spark, sf):
     out, target = _run_enrich(spark, sf), fresh_path(spark, "clean")
     _load(spark, out, target, f"{target}-checkpoint")
     return _loaded(spark, target)
 
 
-@query(_LOADED, _STREAM_VIEWS)
+@query(_LOADED_EVENTS, _STREAM_VIEWS)
 def stream_load_resumed(spark, sf):
     """Two checkpoints on one target: the second meets what the first has loaded."""
     out, target = _run_enrich(spark, sf), fresh_path(spark, "clean")
