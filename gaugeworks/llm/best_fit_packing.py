@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,19 +35,27 @@ from gaugeworks.session import materialise
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
+CACHE_RUNS = 150_000
 
-# Words of these characters split into letters, digits and the rest without further rules.
-_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# Words without these characters split into letters, digits and the rest without further rules.
+_ODD = re.compile(r"[^\n!-&(-~À-ÖØ-öø-ÿ]|<\|")
+_RUN = re.compile(r"\n|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level models write for each byte: itself if it prints, else a new one."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
 class WordIds:
     """Token ids of white-space separated words, remembered up to a bound.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those
-    of its words. ``split_runs`` uses the model alone for plain words: for tokenizers that
-    lower-case, split letters, single digits and other characters, and mark word ends.
+    of its words. ``split_runs`` uses the model alone for plain words: for byte-level tokenizers
+    that lower-case, split letters, single digits and other characters, and mark word ends.
     """
 
     def __init__(self, path: str, split_runs: bool):
@@ -54,45 +63,67 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.split_runs = split_runs
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.letters = byte_letters()
         self.runs: dict[str, list[int]] = {}
-        self.ids: list[int] = []
-        self.begin = [0]
-
-    def _word(self, word: str) -> list[int]:
-        if not self.split_runs or "<|" in word or not _PLAIN.fullmatch(word):
-            return self.whole.encode(word, add_special_tokens=False).ids
-        found: list[int] = []
-        for run in _RUN.findall(word.lower()):
-            ids = self.runs.get(run)
-            if ids is None:
-                if run.isascii():
-                    ids = [x.id for x in self.whole.model.tokenize(run)]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.places = np.zeros(0, np.int64)
+        self.ids = array("I")
+        self.begin = array("q", [0])
+
+    def _run(self, run: str) -> list[int]:
+        text = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+        ids = self.runs[run] = [x.id for x in self.model.tokenize(text)]
+        return ids
+
+    def _add(self, words: list[bytes]) -> None:
+        """Append the ids of new words, which hold no line break."""
+        text = b"\n".join(words).decode("utf-8", "replace")
+        if not self.split_runs or _ODD.search(text):
+            for word in text.split("\n"):
+                if self.split_runs and not _ODD.search(word):
+                    self._add_plain(word)
                 else:
-                    ids = self.whole.encode(run, add_special_tokens=False).ids
-                self.runs[run] = ids
-            found += ids
-        return found
+                    self.ids.extend(self.whole.encode(word, add_special_tokens=False).ids)
+                    self.begin.append(len(self.ids))
+        else:
+            self._add_plain(text)
+
+    def _add_plain(self, text: str) -> None:
+        known, extend = self.runs.get, self.ids.extend
+        for run in _RUN.findall(text.lower()):
+            if run == "\n":
+                self.begin.append(len(self.ids))
+            else:
+                extend(known(run) or self._run(run))
+        self.begin.append(len(self.ids))
 
     def lookup(self, data: np.ndarray, words: K.Words) -> np.ndarray:
         """Place of each word in ``begin``; a new word is encoded once."""
-        if len(self.place) > CACHE_WORDS:
-            self.clear()
+        if len(self.keys) > CACHE_WORDS:
+            self._clear()
+        if len(self.runs) > CACHE_RUNS:
+            self.runs.clear()
         hashes = K.hash_words(data, words.start, words.end)
         keys, firsts, back = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys
         places = np.empty(len(keys), np.int64)
-        for k, (key, at) in enumerate(zip(keys.tolist(), firsts.tolist())):
-            place = self.place.get(key)
-            if place is None:
-                word = data[words.start[at] : words.end[at]].tobytes().decode("utf-8", "replace")
-                self.ids += self._word(word)
-                place = self.place[key] = len(self.begin) - 1
-                self.begin.append(len(self.ids))
-            places[k] = place
+        places[known] = self.places[at[known]]
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            places[fresh] = len(self.begin) - 1 + np.arange(len(fresh))
+            raw = data.tobytes()
+            starts, ends = words.start[firsts[fresh]], words.end[firsts[fresh]]
+            self._add([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+            self.keys = np.insert(self.keys, at[fresh], keys[fresh])
+            self.places = np.insert(self.places, at[fresh], places[fresh])
         return places[back]
 
 
@@ -100,8 +131,8 @@ def text_ids(part: K.Slice, cache: WordIds, end_id: int) -> tuple[np.ndarray, np
     """(ids of the slice's texts end to end, where each text begins), end ids included."""
     words = K.find_words(part.data, part.offsets, K.WHITE)
     places = cache.lookup(part.data, words)
-    begin = np.array(cache.begin, np.int64)
-    pool = np.array(cache.ids, np.uint32)
+    begin = np.array(memoryview(cache.begin), np.int64)
+    pool = np.array(memoryview(cache.ids), np.uint32)
     sizes = begin[places + 1] - begin[places]
     ends = np.cumsum(sizes)
     n = part.hi - part.lo
