@@ -227,7 +227,9 @@ def read_warc(
     # A task gets whole blocks of an archive, so neighbours stay together and long ones spread.
     block = F.floor(F.col("offset") / block_bytes)
     placed = selected.select("page_id", "archive", "offset", "length", block.alias("block"))
-    placed = placed.repartition("archive", "block").sortWithinPartitions("archive", "offset")
+    # A fixed number of partitions: an index row is small, what it stands for is not.
+    n = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    placed = placed.repartition(n, "archive", "block").sortWithinPartitions("archive", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple = (None, None)
