@@ -5,8 +5,8 @@ the last return the columns of ``documents``. Between stages the rows are a tabl
 folder, so a lost executor costs at most the work of one stage.
 
 Null texts count as empty and go in the first stage (too few words). A document whose lines all go
-stays as an empty text. Of a component of near copies the smallest doc_id stays; rows of one id
-stay or go together. An empty table passes through all stages. Extra columns are carried along.
+stays as an empty text. Near copies share 80 percent or more of their five-word shingles; of a
+component of them the smallest doc_id stays; rows of one id stay or go together. An empty table passes through all stages. Extra columns are carried along.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ from gaugeworks.llm.quality_bands import compression_bands
 from gaugeworks.session import materialise
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Near copies: words of a shingle, and the lowest Jaccard similarity in percent.
+COPY_WORDS = 5
+COPY_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +43,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of every component of near copies."""
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, words=COPY_WORDS, percent=COPY_PERCENT)
     keep = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .select(F.col("doc_id").alias("__keep"))

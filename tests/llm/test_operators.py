@@ -218,10 +218,65 @@ def test_ngram_jaccard_without_lists(documents, prose):
     assert sorted(map(tuple, got.collect()), key=str) == jaccard_groups(rows)
 
 
+def five_word_groups(rows):
+    """Component by id at 80 percent on five-word shingles, all pairs."""
+    sets = [(i, shingles(t, 5)) for i, t in rows]
+    own = {i: i for i, _ in sets}
+    for _ in sets:
+        for (i, x), (j, y) in itertools.combinations(sets, 2):
+            if x and y and 5 * len(x & y) >= 4 * len(x | y):
+                own[i] = own[j] = min(own[i], own[j])
+    return sorted((i, len(s), own[i]) for i, s in sets)
+
+
+def edited(base, n, name):
+    """``base`` with n of its words changed, spread out."""
+    own = base.split()
+    for j in range(n):
+        own[(2 * j + 1) * len(own) // (2 * n)] = f"{name}{j}"
+    return " ".join(own)
+
+
+@pytest.mark.parametrize("classes", [((32, 2), (1024, 3)), ((2, 2), (8, 3)), ((4, 3),)])
+def test_ngram_jaccard_five_words(documents, prose, classes):
+    rows = [(k, t) for k, (_, t) in enumerate(near_copies(prose)) if k % 2]
+    for seed, size in ((21, 500), (22, 150)):
+        base = prose(seed, size)
+        rows += [(1000 * seed + n, edited(base, n, f"e{n}x")) for n in (0, 1, 3, 8, 10, 12)]
+        rows += [(1000 * seed + 100 + n, base + " " + prose(seed + n, n)) for n in (20, 75, 140)]
+    got = jaccard_components(documents(rows), words=5, percent=80, classes=classes)
+    assert sorted(map(tuple, got.collect())) == five_word_groups(rows)
+
+
 def test_ngram_jaccard_empty(documents):
     assert jaccard_components(documents([])).collect() == []
 
 
+def test_signatures_meet_at_80():
+    """The same as below where sets may miss a fifth of their tokens."""
+    pick = np.random.default_rng(6)
+    linked = 0
+    for trial in range(400):
+        size = int(pick.integers(5, 200))
+        pool = tokens.mix(pick.integers(0, 2**62, 2 * size).astype(np.uint64))
+        level = {int(x): int(v) for x, v in zip(pool, pick.choice([1, 3, 6, 7, 11], len(pool)))}
+        miss = int(pick.integers(0, size // 5 + 1))
+        one = np.sort(pool[:size])
+        two = np.sort(np.concatenate([pool[miss:size], pool[size : size + int(pick.integers(0, size // 5 + 1))]]))
+        common = len(np.intersect1d(one, two))
+        if 100 * common < 80 * (len(one) + len(two) - common) or len(one) == common == len(two):
+            continue
+        linked += 1
+        found = []
+        for own in (one, two):
+            levels = np.array([level[int(x)] for x in own])
+            rows = np.zeros(len(own), np.int64)
+            _, sig = signatures(own, rows, np.array([len(own)]), levels, 80, ((32, 2), (1024, 3)))
+            found.append(set(sig.tolist()))
+        assert found[0] & found[1], trial
+    assert linked > 100
+
+
 def test_signatures_meet():
     """Two sets that link share a signature, whatever the classes of their tokens."""
     pick = np.random.default_rng(5)

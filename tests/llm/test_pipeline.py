@@ -17,6 +17,7 @@ import corpus_pipeline
 from gaugeworks.llm import quality_bands as Q
 from gaugeworks.llm import registry
 from test_operators import AWKWARD, TOKENIZER, base_rules, cut_lines, find_leaks, jaccard_groups
+from test_operators import edited, five_word_groups
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -101,6 +102,16 @@ def test_stages_and_run(spark, corpus):
         assert len(bins) == math.ceil(sum(p[3] for p in pieces) / 2048)
 
 
+def test_near_copies_of_five_words(spark, documents, prose):
+    """Copies between 80 and 90 percent go, also those that 90 percent on three words would keep."""
+    base, other = prose(31, 500), prose(32, 500)
+    rows = [(1, base), (2, edited(base, 10, "new")), (3, edited(base, 16, "far")), (4, other)]
+    rows += [(5, other + " " + prose(33, 75)), (6, other + " " + prose(34, 140)), (7, prose(35, 90))]
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, documents(rows), "").collect()}
+    assert kept == {i for i, _, c in five_word_groups(rows) if i == c} == {1, 3, 4, 6, 7}
+    assert {2, 5} <= {i for i, _, c in jaccard_groups(rows) if i == c}
+
+
 def test_empty_corpus(spark, corpus, tmp_path):
     docs = spark.read.parquet(f"{corpus[0]}/documents.parquet").limit(0)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
