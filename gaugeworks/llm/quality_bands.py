@@ -2,8 +2,9 @@
 
 A text that zstandard shrinks far more than prose of its length is repetitive; one that it
 hardly shrinks is noise. Short texts shrink less than long ones, so each length band has its
-own limits. A long text is also cut into chunks of a fixed size: too large a share of chunks
-outside the chunk limits rejects texts that are fine on average only.
+own limits. A text of a chunk's size or more is also cut into chunks of that size: too large a
+share of chunks outside the chunk limits rejects texts that are fine on average only. Bytes left
+over at the end are judged in a last chunk of full size, which overlaps the one before.
 
 One row in, one row out, no shuffle; memory follows one slice of texts.
 
@@ -72,6 +73,14 @@ def repeat_words(hashes: np.ndarray, owner: np.ndarray, n_texts: int, width: int
     return np.bincount(owner[hit], minlength=n_texts)
 
 
+def chunk_starts(size: int, chunk_bytes: int) -> list[int]:
+    """Where the chunks of a text of ``size`` bytes begin; together they hold all of its bytes."""
+    starts = list(range(0, size - chunk_bytes + 1, chunk_bytes))
+    if starts and size % chunk_bytes:
+        starts.append(size - chunk_bytes)
+    return starts
+
+
 def compression_bands(
     docs: DataFrame,
     text_col: str = "text",
@@ -108,7 +117,7 @@ def compression_bands(
                 if raw:
                     ratio = len(raw) / len(squeeze(raw))
                     _, low, high = bands[int(np.searchsorted(tops, len(raw)))]
-                    for start in range(0, len(raw) - chunk_bytes + 1, chunk_bytes):
+                    for start in chunk_starts(len(raw), chunk_bytes):
                         at = chunk_bytes / len(squeeze(raw[start : start + chunk_bytes]))
                         bad += not chunk_band[0] <= at <= chunk_band[1]
                         chunks += 1

@@ -1,5 +1,6 @@
 """Each operator against a plain version of itself, on awkward rows."""
 
+import base64
 import collections
 import hashlib
 import itertools
@@ -115,6 +116,27 @@ def test_quality_bands(spark, documents, prose):
     assert compression_bands(documents([])).collect() == []
 
 
+def base64_words(n, size=20, name=b"n"):
+    """n bytes of base64, cut into words."""
+    text = base64.b64encode(hashlib.shake_256(name).digest(n)).decode()
+    return " ".join(text[i : i + size] for i in range(0, n, size))[:n]
+
+
+def test_quality_bands_judge_the_end(documents, prose):
+    """The bytes after the last whole chunk count too."""
+    size = 4096
+    given = prose(3, 4000)
+    rows = [(k, given[:size] + base64_words(n)) for k, n in enumerate((4095, 3500))]
+    rows += [(10 + k, given[:n]) for k, n in enumerate((size - 1, size, size + 1, 2 * size - 1, 2 * size, 9000))]
+    rows += [(20, given[: 2 * size] + base64_words(4000))]
+    got = {r.doc_id: r for r in compression_bands(documents(rows)).collect()}
+    assert got[0].ratio > 1.5 and got[1].ratio > 1.5
+    assert [got[k].verdict for k in (0, 1, 20)] == ["chunks"] * 3
+    assert [(got[k].n_chunks, got[k].n_bad_chunks) for k in (0, 1, 20)] == [(2, 1), (2, 1), (3, 1)]
+    assert [got[10 + k].n_chunks for k in range(6)] == [0, 1, 2, 2, 2, 3]
+    assert all(got[10 + k].verdict == "kept" and got[10 + k].n_bad_chunks == 0 for k in range(6))
+
+
 # --- 2 -------------------------------------------------------------------------------
 
 
