@@ -2,7 +2,8 @@
 
 A text is cut into sentences, each is normalised (lower case, letters and digits only) and looked
 up among known licence sentences, which gives an identifier. The identifiers of a text, in order,
-are matched against rules: a rule is a licence and the sequence of identifiers that grants it.
+are matched against rules: a rule is a licence and the sequence of sentences that grants it. A
+known sentence with inner stops has an identifier for each part, and a rule asks for all of them.
 Longer rules go first and use up what they match, so a notice that is part of a longer one does
 not count twice; identifiers that no rule uses are reported as left over. Sentences of a sequence
 stand at most ``max_gap`` sentences apart.
@@ -17,6 +18,7 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +45,20 @@ SENTENCES = (
     ("bsd-source", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("bsd-binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
     ("gpl3-ref", "This work is licensed under the GNU General Public License, version 3."),
+    ("bsd-advert", "All advertising materials mentioning features or use of this software must display the following acknowledgement:"),
+    ("bsd-advert", "All advertising materials mentioning features or use of this software must display the following acknowledgment:"),
+    ("bsd-names", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-names", "Neither the name of the owner nor the names of his contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-names", "Neither the name of the owner nor the names of their contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-names", "Neither the name of the owner nor the names of contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-names", "Neither the name of the owner nor the names of any contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-names", "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("gpl2-free", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("gpl2-free", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."),
     ("gpl-free", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-free", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
+    ("agpl3-free", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("agpl3-free", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
     ("gpl-hope", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
     ("cc-by-nc4-ref", "Licensed under CC BY-NC 4.0."),
     ("cc-by4-ref", "Licensed under CC BY 4.0."),
@@ -58,10 +73,16 @@ RULES = (
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("MIT", ("mit-ref",)),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-names")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("Apache-2.0", ("apache2-head", "apache2-copy")),
     ("Apache-2.0", ("apache2-head",)),
     ("Apache-2.0", ("apache2-ref",)),
+    ("AGPL-3.0-or-later", ("agpl3-free", "gpl-hope")),
+    ("AGPL-3.0-or-later", ("agpl3-free",)),
+    ("GPL-2.0-or-later", ("gpl2-free", "gpl-hope")),
+    ("GPL-2.0-or-later", ("gpl2-free",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
     ("GPL-3.0-or-later", ("gpl-free",)),
     ("GPL-3.0", ("gpl3-ref",)),
@@ -75,7 +96,9 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A line break before a lower-case letter or bracket, past comment marks, goes on with a sentence.
 WRAPPED = r"\r?\n[ \t]*(?:#+|//+|\*+|;+|--)?[ \t]*([a-z(])"
-STOP = r"([.!?:;])[\"')]*[ \t]+"
+# The start of the BSD clause on names holds a name: it is cut off together with what stands before.
+NAMED = r"(?i:neither[ \t]+the[ \t]+names?[ \t]+of[ \t](?:[^\n]|\n){0,200}?[ \t]nor[ \t]+the[ \t]+names[ \t]+of[ \t])"
+STOP = r"([.!?:;])[\"')]*[ \t]+(?:" + NAMED + r")?|" + NAMED
 
 
 def normal(text: Column) -> Column:
@@ -88,19 +111,44 @@ def _plain(sentence: str) -> list[str]:
     import re
 
     parts = re.sub(STOP, "\\1\n", sentence).split("\n")
-    return [re.sub("[^a-z0-9]+", " ", p.lower()).strip() for p in parts]
+    parts = [re.sub("[^a-z0-9]+", " ", p.lower()).strip() for p in parts]
+    return [p for p in parts if p]
 
 
-def known_sentences(sentences: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
-    """(normalised first part, identifier): a sentence with inner stops is known by its parts.
+def _identifiers(sentences: Sequence[tuple[str, str]]) -> dict[str, str]:
+    """Identifier of every part: the name of the sentence, with a number if it has several parts.
 
-    The first part stands for the sentence when it is long; a short one takes the longest part.
+    A part that several sentences have goes by the first of them.
     """
-    known = {}
+    known, taken = {}, {}
     for name, sentence in sentences:
         parts = _plain(sentence)
-        known[max(parts, key=len) if len(parts[0]) < 16 else parts[0]] = name
-    return sorted(known.items())
+        for part in parts:
+            if part not in known:
+                taken[name] = taken.get(name, 0) + (len(parts) > 1)
+                known[part] = f"{name}-{taken[name]}" if len(parts) > 1 else name
+    return known
+
+
+def known_sentences(sentences: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(normalised part, identifier): a sentence with inner stops has one row per part."""
+    return sorted(_identifiers(sentences).items())
+
+
+def part_rules(
+    sentences: Sequence[tuple[str, str]], rules: Sequence[tuple[str, Sequence[str]]]
+) -> list[tuple[str, tuple[str, ...]]]:
+    """``rules`` by the identifiers of all parts in order, for every wording, longest first."""
+    known, wordings = _identifiers(sentences), {}
+    for name, sentence in sentences:
+        steps = tuple(known[p] for p in _plain(sentence))
+        if steps not in wordings.setdefault(name, []):
+            wordings[name].append(steps)
+    out = []
+    for licence, sequence in rules:
+        for way in itertools.product(*(wordings.get(name, [(name,)]) for name in sequence)):
+            out.append((licence, tuple(itertools.chain(*way))))
+    return sorted(dict.fromkeys(out), key=lambda r: -len(r[1]))
 
 
 def scan(
@@ -143,7 +191,7 @@ def scan(
         "licence-sentences",
     )
     left, hits = F.col("left"), []
-    for licence, sequence in sorted(rules, key=lambda r: -len(r[1])):
+    for licence, sequence in part_rules(sentences, rules):
         pattern = "".join(f"<{name}>" for name in sequence)
         hits.append(F.when(F.contains(left, F.lit(pattern)), F.lit(licence)))
         left = F.replace(left, F.lit(pattern), F.lit("|"))
@@ -175,7 +223,7 @@ def oracle_sql() -> str:
     known = ", ".join(f"('{s}', '{n}')" for s, n in known_sentences(SENTENCES))
     quoted_stop = STOP.replace("'", "''")
     left, hits = "l", []
-    for licence, sequence in sorted(RULES, key=lambda r: -len(r[1])):
+    for licence, sequence in part_rules(SENTENCES, RULES):
         pattern = "".join(f"<{name}>" for name in sequence)
         hits.append(f"CASE WHEN contains({left}, '{pattern}') THEN '{licence}' END")
         left = f"replace({left}, '{pattern}', '|')"

@@ -432,6 +432,110 @@ def test_licence_sentences(documents):
     assert scan(documents([])).collect() == []
 
 
+GNU = """    This program is free software{0} you can redistribute it and/or modify
+    it under the terms of the {1} as published by
+    the Free Software Foundation{2} either version {3} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    {1} for more details.
+"""
+GPL2 = GNU.format(";", "GNU General Public License", ";", 2)
+GPL3 = GNU.format(":", "GNU General Public License", ",", 3)
+AGPL = GNU.format(":", "GNU Affero General Public License", ",", 3)
+BSD = """Copyright (c) 2019, Some Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED.
+"""
+THIRD = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GOOGLE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+   * Neither the name of Google Inc. nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+ADVERT = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by the organisation.
+4. Neither the name of the organisation nor the
+   names of its contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+NOTICES = [
+    (GPL2, ["GPL-2.0-or-later"]),
+    (GNU.format(";", "GNU General Public License", ",", 2), ["GPL-2.0-or-later"]),
+    (GPL3, ["GPL-3.0-or-later"]),
+    (GNU.format(";", "GNU General Public License", ";", 3), ["GPL-3.0-or-later"]),
+    (AGPL, ["AGPL-3.0-or-later"]),
+    (GNU.format(";", "GNU Affero General Public License", ";", 3), ["AGPL-3.0-or-later"]),
+    (GPL2.split("\n\n")[0], ["GPL-2.0-or-later"]),
+    (AGPL.split("\n\n")[0], ["AGPL-3.0-or-later"]),
+    ("".join(f"# {x}\n" for x in AGPL.split("\n")), ["AGPL-3.0-or-later"]),
+    (GNU.format(";", "GNU Lesser General Public License", ";", 2.1), []),
+    ("This program is free software: do with it what you like.", []),
+    ('Licensed under the Apache License, Version 2.0 (the "License"); and more', []),
+    (APACHE, ["Apache-2.0"]),
+    (BSD.format(""), ["BSD-2-Clause", "Proprietary"]),
+    (BSD.format(THIRD.format("the copyright holder")), ["BSD-3-Clause", "Proprietary"]),
+    (BSD.format(THIRD.format("Some Co. Ltd. of Town;")), ["BSD-3-Clause", "Proprietary"]),
+    (BSD.format(THIRD.format("the University of\n   Somewhere")), ["BSD-3-Clause", "Proprietary"]),
+    (GOOGLE, ["BSD-3-Clause"]),
+    (BSD.format(ADVERT), ["BSD-4-Clause", "Proprietary"]),
+    (GPL2 + "\n\n\n\n" + GPL3 + "\n\n\n\n" + AGPL, ["AGPL-3.0-or-later", "GPL-2.0-or-later", "GPL-3.0-or-later"]),
+]
+
+
+def test_licence_notices(documents):
+    """Real notices, by all parts of their sentences; the twin agrees."""
+    import duckdb
+
+    from gaugeworks.llm.licence_sentences import oracle_sql
+
+    rows = list(enumerate(t for t, _ in NOTICES))
+    got = scan(documents(rows)).collect()
+    by_id = {r.doc_id: r.licences for r in got}
+    assert [by_id[k] for k in range(len(rows))] == [want for _, want in NOTICES]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    twin = con.execute(oracle_sql()).fetchall()
+    lists = [(r.doc_id, r.n_sentences, *map(",".join, (r.sentence_ids, r.licences, r.left_over))) for r in got]
+    assert sorted(twin) == sorted(lists)
+
+
 # --- 6 -------------------------------------------------------------------------------
 
 
