@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import kneser_ney, licence_sentences
+from gaugeworks.llm import kneser_ney, licence_sentences, quality_classifier
 from gaugeworks.llm.best_fit_packing import best_fit_packing
 from gaugeworks.llm.decontaminate import decontaminate
+from gaugeworks.llm.importance_resampling import importance_resample
 from gaugeworks.llm.line_bloom import line_dedup
 from gaugeworks.llm.ngram_jaccard import jaccard_components
+from gaugeworks.llm.periodic_runs import collapse_runs
 from gaugeworks.llm.quality_bands import compression_bands
 from gaugeworks.llm.recompression import repeats
 from gaugeworks.llm.url_filter import url_filter
@@ -247,3 +249,119 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def _crc_of_id() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """``docs`` whose texts repeat from some word on, for one id in ten, as the query asks."""
+    crc = _crc_of_id()
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    found = docs.withColumn("__w", F.when(crc % 10 == 0, words))
+    found = found.withColumn("__n", F.size("__w")).withColumn("__a", F.floor(crc / 10) % F.col("__n"))
+    ahead = F.col("__n") - F.col("__a")
+    found = found.withColumn("__p", 1 + F.floor(ahead / (3 + F.floor(crc / 10) % 8)))
+    a, p, n = (F.col(c).cast("int") for c in ("__a", "__p", "__n"))
+    cycle = F.slice("__w", a + 1, p)
+    again = F.flatten(F.array_repeat(cycle, F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.slice(F.concat(F.slice("__w", F.lit(1), a), again), F.lit(1), n), " ")
+    # No words: the size is -1 (null) or 0, and the text stays.
+    text = F.when(F.col("__n") > 0, planted).otherwise(F.col("text"))
+    return found.withColumn("text", text).drop("__w", "__n", "__a", "__p")
+
+
+@query()
+def op11_block_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = collapse_runs(with_planted_period(docs))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    listed = F.array_join(F.transform("runs", line), "")
+    best = F.col("best")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", F.coalesce(_crc_of_id() % 3 == 1, F.lit(False)))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_classifier.train(docs.filter(~F.col("held_out")), labels)
+    return quality_classifier.classify(docs, model).drop("text")
+
+
+_LOWER_WORDS = (
+    "coalesce(regexp_extract_all("
+    "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
+)
+#: 3988292384 is the reversed polynomial of CRC-32; features are hashed once each.
+OP13_SQL = f"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+), d AS (
+  SELECT doc_id, {_LOWER_WORDS} AS w FROM documents
+), b AS (
+  SELECT {_LOWER_WORDS} AS w FROM benchmark
+), feature AS (
+  SELECT doc_id, unnest(w) AS f FROM d
+  UNION ALL SELECT doc_id, w[i] || ' ' || w[i + 1]
+  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)
+), sought AS (
+  SELECT unnest(w) AS f FROM b
+  UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM (SELECT w, unnest(range(1, len(w))) AS i FROM b)
+), bucketed AS (
+  SELECT f, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: CAST(
+        instr('0123456789ABCDEF', x[i]) * 16 + instr('0123456789ABCDEF', x[i + 1]) - 17 AS BIGINT))),
+      lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]))) % 10000 AS k
+  FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM feature UNION SELECT f FROM sought)), crc_table
+), source AS (
+  SELECT k, count(*) AS s FROM feature JOIN bucketed USING (f) GROUP BY k
+), target AS (
+  SELECT k, count(*) AS t FROM sought JOIN bucketed USING (f) GROUP BY k
+), gain AS (
+  SELECT k, CAST(floor(1000 * ln(
+      (coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM feature) + 10000)
+      / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM sought) + 10000)))) AS BIGINT) AS g
+  FROM source FULL JOIN target USING (k)
+), weighed AS (
+  SELECT doc_id, count(*) AS n, sum(g) AS total
+  FROM feature JOIN bucketed USING (f) JOIN gain USING (k) GROUP BY doc_id
+), noise AS (
+  SELECT doc_id, len(w) AS n_words,
+    (CAST('0x' || sha256('7:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u
+  FROM d
+), scored AS (
+  SELECT doc_id, n_words, coalesce(n, 0) AS n_features,
+    CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+    CAST(floor(-1000.0::DOUBLE * ln(-ln(u))) AS BIGINT) AS g
+  FROM noise LEFT JOIN weighed USING (doc_id)
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY weight + g DESC, doc_id) AS r,
+    25 * count(*) OVER () // 100 AS most
+  FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, weight + g AS score, CASE WHEN r <= most THEN r END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+@query(OP13_SQL)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = importance_resample(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
