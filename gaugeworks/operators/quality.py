@@ -248,7 +248,7 @@ def rule_counts(events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_
     )
 
 
-def _audit_report(counts: DataFrame) -> DataFrame:
+def audit_report(counts: DataFrame) -> DataFrame:
     lines = F.array(
         *(
             F.struct(
@@ -271,7 +271,7 @@ def _audit_report(counts: DataFrame) -> DataFrame:
     )
 
 
-def _action_report(counts: DataFrame) -> DataFrame:
+def action_report(counts: DataFrame) -> DataFrame:
     actions = {rule.key: rule.action for rule in VALUE_RULES}
     actions |= {"metadata": METADATA_ACTION, "source": SOURCE_ACTION}
     lines = F.array(
@@ -296,7 +296,7 @@ def audit(events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS)
     One pass counts every rule that looks at a row and its site; a second reads
     only the key column.
     """
-    return _audit_report(_all_counts(events, sensor, max_rows))
+    return audit_report(_all_counts(events, sensor, max_rows))
 
 
 def audit_and_actions(
@@ -305,7 +305,7 @@ def audit_and_actions(
     """Both reports from the same two passes, which are run here."""
     counts = _all_counts(events, sensor, max_rows)
     counts = events.sparkSession.createDataFrame([counts.first()], counts.schema)
-    return _audit_report(counts), _action_report(counts)
+    return audit_report(counts), action_report(counts)
 
 
 def repair_metadata(
@@ -347,7 +347,7 @@ def repair_actions(
     events: DataFrame, sensor: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Rows each correction changes, from the table as it is before the repair."""
-    return _action_report(rule_counts(events, sensor, max_rows))
+    return action_report(rule_counts(events, sensor, max_rows))
 
 
 def audit_rule(

@@ -1055,13 +1055,17 @@ _STREAMED = {
 }
 
 
+_BATCHES = 4
+
+
 def _streamed_messages(spark, sf):
     """Delivered events as JSON text files, read back as a stream in several batches."""
     path = fresh_path(spark, "messages")
     rows = A.project(A.delivered(spark, sf), _STREAMED)
-    # Small files, whose number follows the data, so that a stream has several batches.
-    messages(rows).write.option("maxRecordsPerFile", 4000).text(path)
-    return json_file_stream(spark, path, max_files=2)
+    n = _BATCHES * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # A fixed number of batches, which grow with the data; each is read by all tasks.
+    messages(rows.repartition(n)).write.text(path)
+    return json_file_stream(spark, path, max_files=n // _BATCHES)
 
 
 def _stream_sites(spark, sf):
@@ -1185,37 +1189,38 @@ def stream_load_rejected(spark, sf):
     return rejected.select("event_id", F.array_join("violations", ", ").alias("violations"))
 
 
-def _event_stream(spark, sf):
-    """Events in files by time, one file per micro-batch, so state and watermark cross batches."""
+def _drained(spark, sf, label, job):
+    """``job`` on the events as they arrive in four stretches of time, one run of the query for each.
+
+    Every stretch is written by all tasks and is a micro-batch of its own; state and watermark
+    cross them through the checkpoint.
+    """
     events = A.table(spark, sf, "events")
-    path = fresh_path(spark, "event-files")
-    low, high = events.select(F.unix_micros(ntz_instant("ts")).alias("t")).agg(F.min("t"), F.max("t")).first()
+    inbox, out = fresh_path(spark, "event-files"), fresh_path(spark, label)
+    at = F.unix_micros(ntz_instant("ts"))
+    low, high = events.select(at.alias("t")).agg(F.min("t"), F.max("t")).first()
     step = (high - low) // 4 + 1
     for part in range(4):  # in this order, as they would arrive
-        at = F.unix_micros(ntz_instant("ts"))
         rows = events.filter((at >= low + part * step) & (at < low + (part + 1) * step))
-        rows.coalesce(1).write.parquet(f"{path}/part={part}")
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    reader = reader.option("recursiveFileLookup", True)
-    return reader.parquet(path).withColumn("at", ntz_instant("ts"))
-
-
-def _drain(stream, label, mode="append"):
-    path = fresh_path(stream.sparkSession, label)
-    writer = stream.writeStream.format("parquet").outputMode(mode).option("path", path)
-    writer = writer.option("checkpointLocation", f"{path}-checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+        rows.write.parquet(f"{inbox}/part={part}")
+        reader = spark.readStream.schema(events.schema).option("recursiveFileLookup", True)
+        found = job(reader.parquet(inbox).withColumn("at", ntz_instant("ts")))
+        writer = found.writeStream.format("parquet").option("path", out)
+        writer = writer.option("checkpointLocation", f"{out}-checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(found.schema).parquet(out)
 
 
 @query("SELECT event_id, user_id, value FROM events")
 def stream_dedup(spark, sf):
     """Sign-ups arrive twice; the copies lie within the delay and one of each is kept."""
-    stream = _event_stream(spark, sf)
     twice = F.when(F.col("event_type") == "signup", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    copies = stream.withColumn("copy", F.explode(twice)).drop("copy")
-    kept = deduplicated(copies.select("event_id", "user_id", "value", "at"), "event_id", "at", "10 minutes")
-    return _drain(kept.select("event_id", "user_id", "value"), "stream-dedup")
+
+    def job(stream):
+        copies = stream.withColumn("copy", F.explode(twice)).select("event_id", "user_id", "value", "at")
+        return deduplicated(copies, "event_id", "at", "10 minutes").select("event_id", "user_id", "value")
+
+    return _drained(spark, sf, "stream-dedup", job)
 
 
 @query(
@@ -1226,4 +1231,4 @@ def stream_dedup(spark, sf):
 )
 def stream_rate(spark, sf):
     """Windows that are final: those that end ten minutes before the newest event."""
-    return _drain(rate(_event_stream(spark, sf), "at", "10 minutes"), "stream-rate")
+    return _drained(spark, sf, "stream-rate", lambda stream: rate(stream, "at", "10 minutes"))

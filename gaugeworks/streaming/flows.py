@@ -1,10 +1,10 @@
 """Streaming twins of the flows.
 
-Every query has an id, kept with its checkpoint. Batches are written to
-``query_id=<id>/batch_id=<n>`` folders in overwrite mode, so a batch that is
-replayed after a failure replaces its own output, and another checkpoint on the
-same target never touches it: each message has its effect once. Progress lives
-in the checkpoint of each query.
+Every query has an id, kept inside its checkpoint. Batches are written to
+``query_id=<id>/batch_id=<n>`` folders in overwrite mode and become visible by one
+marker that is written last (``commits``). A batch that is replayed after a failure
+replaces its own output, another checkpoint on the same target never touches it, and
+a checkpoint that was cleared gets a new id: each message has its effect once.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeworks import files
 from gaugeworks.functions import is_finite
 from gaugeworks.operators.constraints import clean_row_checks, flag_violations, require_rows
 from gaugeworks.operators.dedupe import first_per_key
@@ -27,7 +28,8 @@ from gaugeworks.operators.nearest import nearest_site, prepare_sites
 from gaugeworks.plans.flows import split_usable, type_events
 from gaugeworks.schemas import ENRICHED, WEATHER_SENSOR_CLEAN
 from gaugeworks.session import materialise, remove_path, scratch
-from gaugeworks.sources import decode_events, scan_table
+from gaugeworks.sources import decode_events
+from gaugeworks.streaming import commits
 
 # Event column -> column of the normalised site table.
 SITE_TAKE = {
@@ -47,39 +49,12 @@ def trigger_options(every: str | None = None) -> dict[str, object]:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
-    """Id of the checkpoint: the same after every restart, another for another checkpoint."""
-    path = f"{checkpoint.rstrip('/')}-id"
-    try:
-        return spark.read.text(path).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    name = uuid.uuid4().hex
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
-    return name
-
-
-def _folder(path: str, query_id: str, batch_id: int) -> str:
-    return f"{path}/query_id={query_id}/batch_id={batch_id}"
-
-
-def _land(df: DataFrame, path: str, query_id: str, batch_id: int, fmt: str) -> None:
-    df.write.mode("overwrite").format(fmt).save(_folder(path, query_id, batch_id))
-
-
 def _count(df: DataFrame, name: str, key: str) -> tuple[DataFrame, Observation]:
     """``df`` with its rows counted while it is written."""
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     return df.observe(seen, F.count("*").alias(key)), seen
 
 
-def _record(spark: SparkSession, out: str, query_id: str, batch_id: int, counts: dict) -> None:
-    """Counters of a batch, as data beside its output."""
-    row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} LONG" for c in counts))
-    _land(row.coalesce(1), f"{out}/counters", query_id, batch_id, "json")
-
-
 def enrich_messages(
     messages: DataFrame,
     sites: DataFrame,
@@ -87,6 +62,7 @@ def enrich_messages(
     checkpoint: str,
     every: str | None = None,
     take: dict[str, str] | None = None,
+    after_output: Callable[[str, int], None] | None = None,
 ) -> StreamingQuery:
     """Decode messages, land them as they are, add the nearest site and land the result.
 
@@ -95,34 +71,44 @@ def enrich_messages(
     usable position, ``counters`` how many there were of each. The site list must
     not be empty; it is read and made ready once, at the start, so a replayed batch
     meets the same sites. What a batch writes in between is removed with it.
+    ``read_committed`` gives the outputs of whole batches only. ``after_output`` is called
+    with the name and the batch of each output that was written; an error in it stops the
+    batch before its commit.
     """
     spark = messages.sparkSession
     kept = materialise(require_rows(sites, "sites"), "sites")
     ready = prepare_sites(kept, take=take or SITE_TAKE)
     readable = F.col("_corrupt_record").isNull()
     placed = is_finite("latitude") & is_finite("longitude")
-    query_id = _query_id(spark, checkpoint)
+    query = commits.query_id(spark, checkpoint)
+
+    def land(df: DataFrame, name: str, batch_id: int, fmt: str) -> None:
+        commits.land(df, f"{out}/{name}", query, batch_id, fmt)
+        if after_output:
+            after_output(name, batch_id)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if commits.is_committed(session, out, query, batch_id):
+            return
         texts = batch.select("value", F.col("value").alias("__text"))
         decoded = decode_events(texts, "value").persist()
         try:
-            with scratch(batch.sparkSession):
+            with scratch(session):
                 raw, n_raw = _count(decoded.select(F.col("__text").alias("value")), "raw", "n")
-                _land(raw, f"{out}/raw", query_id, batch_id, "text")
+                land(raw, "raw", batch_id, "text")
                 events = decoded.filter(readable & placed).drop("__text", "_corrupt_record")
                 enriched = nearest_site(events, ready).drop("distance")
                 enriched, n_enriched = _count(enriched, "enriched", "n")
-                _land(enriched, f"{out}/enriched", query_id, batch_id, "parquet")
+                land(enriched, "enriched", batch_id, "parquet")
+                counts = {"messages": n_raw.get["n"], "enriched": n_enriched.get["n"]}
                 rejected = decoded.filter(~(readable & placed)).select(
                     F.when(readable, "no position").otherwise("unreadable").alias("reason"),
                     F.col("__text").alias("value"),
                 )
-                rejected, n_rejected = _count(rejected, "rejected", "n")
-                _land(rejected, f"{out}/rejected", query_id, batch_id, "json")
-            found = {"messages": n_raw, "enriched": n_enriched, "rejected": n_rejected}
-            counts = {name: seen.get["n"] for name, seen in found.items()}
-            _record(batch.sparkSession, out, query_id, batch_id, counts)
+                land(rejected, "rejected", batch_id, "json")
+            counts["rejected"] = counts["messages"] - counts["enriched"]
+            commits.commit(session, out, query, batch_id, counts)
         finally:
             decoded.unpersist()
 
@@ -130,8 +116,21 @@ def enrich_messages(
     return writer.trigger(**trigger_options(every)).start()
 
 
-KEY_BUCKETS = 1024
 COMPACT_EVERY = 100
+KEYS_PER_FILE = 1_000_000
+_KEYS = "event_id STRING"
+
+
+def _write_keys(rows: DataFrame, count: int, path: str) -> None:
+    """Ids in as few files as their number needs."""
+    parts = max(1, -(-count // KEYS_PER_FILE))
+    rows.select("event_id").repartition(parts).write.mode("overwrite").parquet(path)
+
+
+def _key_folders(spark: SparkSession, target: str, query: str) -> dict[int, str]:
+    root = f"{target}/keys/query_id={query}"
+    found = (n.split("=")[1] for n in files.names(spark, root) if n.startswith("batch_id="))
+    return {int(n): f"{root}/batch_id={n}" for n in found}
 
 
 def compact_keys(spark: SparkSession, target: str, query_id: str, before: int) -> None:
@@ -140,23 +139,33 @@ def compact_keys(spark: SparkSession, target: str, query_id: str, before: int) -
     Those batches are committed, so none of them is replayed. If this stops half way,
     some keys are there twice, which changes nothing.
     """
-    root = f"{target}/keys/query_id={query_id}"
-    held = scan_table(spark, f"{target}/keys", _KEYS).filter(
-        (F.col("query_id") == query_id) & (F.col("batch_id") < before)
-    )
-    old = [r["batch_id"] for r in held.select("batch_id").distinct().collect()]
+    old = {n: path for n, path in _key_folders(spark, target, query_id).items() if n < before}
     if len(old) > 1:
-        _write_keys(held, f"{root}/batch_id={-before}")
-        for batch_id in old:
-            remove_path(spark, f"{root}/batch_id={batch_id}")
+        held = spark.read.schema(_KEYS).parquet(*old.values())
+        _write_keys(held, held.count(), commits.folder(f"{target}/keys", query_id, -before))
+        for path in old.values():
+            remove_path(spark, path)
 
 
-_KEYS = "event_id STRING, query_id STRING, batch_id BIGINT, bucket INT"
+def loaded_keys(spark: SparkSession, target: str, query: str, batch_id: int) -> DataFrame:
+    """Ids that the committed batches of all checkpoints have loaded.
 
-
-def _write_keys(rows: DataFrame, path: str) -> None:
-    keys = rows.select("event_id", "bucket").repartition("bucket")
-    keys.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    A query goes on to a batch only when the ones before are done, so at most the newest folder
+    of each other query has no marker. Folders are named, not searched for.
+    """
+    paths: list[str] = []
+    for name in files.names(spark, f"{target}/keys"):
+        other = name.removeprefix("query_id=")
+        held = _key_folders(spark, target, other)
+        last = max(held, default=-1)
+        if other == query:
+            held = {n: p for n, p in held.items() if n < batch_id}
+        elif last >= 0 and not commits.is_committed(spark, target, other, last):
+            del held[last]
+        paths += held.values()
+    if not paths:
+        return spark.createDataFrame([], _KEYS)
+    return spark.read.schema(_KEYS).parquet(*paths)
 
 
 def load_clean(
@@ -167,51 +176,48 @@ def load_clean(
     run_at: datetime | None = None,
     source_tz: str = "UTC",
     sensor: DataFrame | None = None,
-    key_buckets: int = KEY_BUCKETS,
     compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Clean each batch and append the loadable events that were not loaded before.
 
     Under ``target``: ``loaded`` has the rows that pass the constraints of the final
     table (with ``sensor`` also the reference to it), in its columns and types;
-    ``rejected`` the others with their violations; ``counters`` how many of each.
-    ``keys`` has the loaded ids in folders by hash: a batch reads only the folders of
-    its own ids, and the folders of old batches are gathered from time to time.
-    ``key_buckets`` must stay the same for a target. Exact over all history and all
-    checkpoints, one loader at a time.
+    ``rejected`` the others with their violations; ``counters`` how many of each, which
+    is also the batch's commit. ``keys`` has the loaded ids, one folder a batch, gathered
+    from time to time. A batch compares its ids with all loaded ones, so its time grows
+    with them (``load_clean_keyed`` keeps them in state instead). Exact over all history
+    and all checkpoints, one loader at a time.
     """
     spark = enriched.sparkSession
-    query_id = _query_id(spark, checkpoint)
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(key_buckets)).cast("int")
+    query = commits.query_id(spark, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        if commits.is_committed(session, target, query, batch_id):
+            return
         at = run_at or datetime.now(timezone.utc)
         rows = batch.drop("batch_id", "query_id")
-        own = (F.col("query_id") == query_id) & (F.col("batch_id") >= batch_id)
         with scratch(session):
-            typed = materialise(type_events(rows, at, source_tz), "typed")
-            usable, unusable = split_usable(typed)
+            usable, unusable = split_usable(materialise(type_events(rows, at, source_tz), "typed"))
             checked = flag_violations(usable, clean_row_checks(sensor))
             checked = materialise(checked, "checked")
             good = F.size("violations") == 0
             cleaned = first_per_key(checked.filter(good), ["event_id"], ["collected_at"])
-            cleaned = cleaned.drop("violations").withColumn("bucket", bucket)
-            held = scan_table(session, f"{target}/keys", _KEYS)
-            mine = [r["bucket"] for r in cleaned.select("bucket").distinct().collect()]
-            earlier = held.filter(F.col("bucket").isin(mine) & ~own)
-            fresh = absent_rows(cleaned, earlier, ["event_id"], ["collected_at"])
-            fresh = materialise(fresh, "fresh")
+            held = loaded_keys(session, target, query, batch_id)
+            fresh = absent_rows(cleaned.drop("violations"), held, ["event_id"], ["collected_at"])
             loaded, n_loaded = _count(to_target(fresh, WEATHER_SENSOR_CLEAN), "loaded", "n")
-            _land(loaded, f"{target}/loaded", query_id, batch_id, "parquet")
+            commits.land(loaded, f"{target}/loaded", query, batch_id, "parquet")
             refused = unusable.unionByName(checked.filter(~good))
             refused, n_refused = _count(refused, "rejected", "n")
-            _land(refused, f"{target}/rejected", query_id, batch_id, "parquet")
-            _write_keys(fresh, _folder(f"{target}/keys", query_id, batch_id))
-            if batch_id and batch_id % compact_every == 0:
-                compact_keys(session, target, query_id, batch_id)
-        counts = {"loaded": n_loaded.get["n"], "rejected": n_refused.get["n"]}
-        _record(session, target, query_id, batch_id, counts)
+            commits.land(refused, f"{target}/rejected", query, batch_id, "parquet")
+            counts = {"loaded": n_loaded.get["n"], "rejected": n_refused.get["n"]}
+            written = session.read.schema(_KEYS).parquet(
+                commits.folder(f"{target}/loaded", query, batch_id)
+            )
+            _write_keys(written, counts["loaded"], commits.folder(f"{target}/keys", query, batch_id))
+        commits.commit(session, target, query, batch_id, counts)
+        if batch_id and batch_id % compact_every == 0:
+            compact_keys(session, target, query, batch_id)
 
     writer = enriched.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(every)).start()
