@@ -132,47 +132,58 @@ def split_label(label: str, counts: dict[tuple[int, int], int], total: float) ->
     return out[::-1]
 
 
+def _pieces(labels: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(label, start, end, hash) of every piece of up to ``LONGEST_WORD`` letters, in bounded parts."""
+    for part in K.slices(labels, limit=FLUSH_WORDS // LONGEST_WORD):
+        size = np.diff(part.offsets)
+        stop = np.repeat(part.offsets[1:], size)
+        owner = np.repeat(np.arange(len(size)), size)
+        # A long label is a slice of its own: its letters go in parts, too.
+        for low in range(0, len(part.data), FLUSH_WORDS // LONGEST_WORD):
+            at = np.arange(low, min(low + FLUSH_WORDS // LONGEST_WORD, len(part.data)))
+            start = np.repeat(at, LONGEST_WORD)
+            end = start + np.tile(np.arange(1, LONGEST_WORD + 1), len(at))
+            fits = end <= stop[start]
+            start, end = start[fits], end[fits]
+            of, first = owner[start], part.offsets[owner[start]]
+            yield part.lo + of, start - first, end - first, K.hash_words(part.data, start, end)
+
+
 def segment_labels(labels: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """(label, words) of distinct runs of letters."""
+    """(label, words) of distinct runs of letters.
+
+    Pieces carry the number of their label and not its text, so a label of n letters costs
+    ``LONGEST_WORD`` narrow rows a letter.
+    """
+    numbered = materialise(
+        labels.select("label", F.monotonically_increasing_id().alias("number")), "host-labels"
+    )
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for label in batch.column(0).to_pylist():
-                n = len(label)
-                spans = [
-                    (s, e) for s in range(n) for e in range(s + 1, min(n, s + LONGEST_WORD) + 1)
-                ]
-                hashes = K.hash_bytes([label[s:e].encode() for s, e in spans])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([label] * len(spans), pa.string()),
-                        pa.array([s for s, _ in spans], pa.int32()),
-                        pa.array([e for _, e in spans], pa.int32()),
-                        pa.array(hashes.view(np.int64)),
-                    ],
-                    ["label", "s", "e", "h"],
-                )
-
-    spans = labels.mapInArrow(pieces, "label string, s int, e int, h long")
+            number = batch.column(1).to_numpy()
+            for of, start, end, hashes in _pieces(batch.column(0)):
+                columns = (number[of], start.astype(np.int32), end.astype(np.int32), hashes.view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["number", "s", "e", "h"])
+
+    spans = numbered.select("label", "number").mapInArrow(pieces, "number long, s int, e int, h long")
     known = (
         counts.join(spans, "h")
-        .groupBy("label")
+        .groupBy("number")
         .agg(F.collect_list(F.struct("s", "e", "n")).alias("known"))
     )
     total = float(max(total, 1))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            words = [
-                split_label(label, {(x["s"], x["e"]): x["n"] for x in found or ()}, total)
-                for label, found in rows
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.list_(pa.string()))], ["label", "words"]
-            )
-
-    return labels.join(known, "label", "left").mapInArrow(split, "label string, words array<string>")
+            for i in range(batch.num_rows):  # one label at a time: some are very long
+                label = batch.column(0)[i].as_py()
+                found = {(x["s"], x["e"]): x["n"] for x in batch.column(1)[i].as_py() or ()}
+                words = pa.array([split_label(label, found, total)], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), words], ["label", "words"])
+
+    joined = numbered.join(known, "number", "left").select("label", "known")
+    return joined.mapInArrow(split, "label string, words array<string>")
 
 
 def _runs(text: Column) -> Column:
