@@ -5,16 +5,18 @@ others the tokens (n-grams) are ordered from rare to frequent, by document count
 documents. Two sets that link miss few of each other's tokens, so their prefixes must meet: a
 prefix counts a rare token as one, and of the tokens of a frequent class in one block only those
 after the first k - 1, since k of them are indexed together. It is extended until it counts more
-than a set may miss. Then at least one single rare token, or one combination of k tokens of a
+than a set may miss: fewer where it is the smaller set of a pair than where it is the larger one
+(ties: by digest), so each set has a short prefix for the one role and a longer one for the other. Then at least one single rare token, or one combination of k tokens of a
 block, is in both prefixes (blocks are cut by hash, with a number that follows the size of the set;
 sets near a power of two are also indexed with the next one's number). Tokens that one document
 alone has are at the front of the order and are not indexed at all.
 
 Candidates come without all pairs of a group: first each set is verified against one set, that
 which shares most signatures with it among the hubs of its signatures. Verified links give
-components. Only signatures that still hold several components are looked at again, and there only
-pairs across components that their sizes, the tokens of their own and 512-bit parity bitmaps leave
-possible; these bounds never rule out a link. Groups of copies are one component by then. Every
+components. Only signatures that still hold several components are looked at again, and there a
+set in its smaller role meets those not smaller, across components, whose sizes, tokens of their own and
+512-bit parity bitmaps leave a link possible; these bounds never rule out a link. Copies of a
+template that differ too much to link have no signature in the smaller role, so they never meet. Groups of copies are one component by then. Every
 pair that could join two components is verified, so the components are exact.
 
 Words are lower-cased in A-Z and split at ASCII white space. With fewer words than n the whole
@@ -250,15 +252,23 @@ def missable(size: np.ndarray, percent: int) -> np.ndarray:
     return size - -(-percent * size // 100)
 
 
+def missable_by_smaller(size: np.ndarray, percent: int) -> np.ndarray:
+    """How many of its tokens a set may lack in a set that is not smaller."""
+    return size - -(-2 * percent * size // (100 + percent))
+
+
 def signatures(
     token: np.ndarray, row: np.ndarray, size: np.ndarray, level: np.ndarray, percent: int, classes
-) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of the prefixes; tokens in (row, hash) order, ``size`` by row."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature, whether it also stands for the smaller role) of the prefixes.
+
+    Tokens are in (row, hash) order, ``size`` is by row.
+    """
     # Sets that no different set can link with have no signature.
     able = 100 * size >= percent * (size + 1)
     scale = np.zeros(len(size), np.int64)
     scale[size > 0] = np.floor(np.log2(size[size > 0])).astype(np.int64)
-    out_rows, out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    out_rows, out, out_small = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
     k = np.ones(len(token), np.int64)
     for count, tokens in classes:
         k[level >= int(math.log2(count))] = tokens
@@ -292,27 +302,31 @@ def signatures(
         counted = np.where(place >= kind - 1, 1, 0)
         base = (counts - counted)[np.flatnonzero(begin)][np.cumsum(begin) - 1]
         # In the prefix while what stands before counts at most what may be missing.
-        inside = (counts - counted - base) <= missable(size, percent)[owner]
+        before = counts - counted - base
+        inside = before <= missable(size, percent)[owner]
+        small = before <= missable_by_smaller(size, percent)[owner]
         tag = (step[order].astype(np.uint64) << np.uint64(8)) + kind.astype(np.uint64)
         single = np.flatnonzero(inside & (kind == 1) & ~one)
         out_rows.append(owner[single])
         out.append(K.mix(K.chain(key[single], tag[single])))
+        out_small.append(small[single])
         for tokens in sorted({t for _, t in classes}):
             last = np.flatnonzero(inside & (kind == tokens))
-            _combine(last, key[last], tokens, key, tag, place, owner, out_rows, out)
-    rows, found = np.concatenate(out_rows), np.concatenate(out)
-    order = np.lexsort((found, rows))
-    rows, found = rows[order], found[order]
+            _combine(last, key[last], tokens, key, tag, place, owner, small, (out_rows, out, out_small))
+    rows, found, small = np.concatenate(out_rows), np.concatenate(out), np.concatenate(out_small)
+    order = np.lexsort((~small, found, rows))
+    rows, found, small = rows[order], found[order], small[order]
     new = np.append(True, (rows[1:] != rows[:-1]) | (found[1:] != found[:-1]))[: len(rows)]
-    return rows[new], found[new]
+    return rows[new], found[new], small[new]
 
 
-def _combine(last, acc, left, key, tag, place, owner, out_rows, out, at=None) -> None:
+def _combine(last, acc, left, key, tag, place, owner, small, out, at=None) -> None:
     """Add each combination of tokens of a block that ends with one of ``last``."""
     at = last if at is None else at
     if left == 1:
-        out_rows.append(owner[last])
-        out.append(K.mix(K.chain(acc, tag[last])))
+        out[0].append(owner[last])
+        out[1].append(K.mix(K.chain(acc, tag[last])))
+        out[2].append(small[last])
         return
     back = 1
     while True:
@@ -320,16 +334,15 @@ def _combine(last, acc, left, key, tag, place, owner, out_rows, out, at=None) ->
         if not deep.any():
             return
         last, acc, at = last[deep], acc[deep], at[deep]
-        _combine(
-            last, K.chain(acc, key[at - back]), left - 1, key, tag, place, owner, out_rows, out, at - back
-        )
+        _combine(last, K.chain(acc, key[at - back]), left - 1, key, tag, place, owner, small, out, at - back)
         back += 1
 
 
 def indexed_sets(texts: DataFrame, order: dict, width: int, percent: int, classes) -> DataFrame:
     """Sets with a signature: v, n, own (tokens that no other set has), bitmap, signatures, tokens.
 
-    A task gives equal sets once.
+    Signatures of the smaller role come first, ``roles`` is their number. A task gives equal
+    sets once.
     """
     shared = texts.sparkSession.sparkContext.broadcast(order)
 
@@ -339,9 +352,12 @@ def indexed_sets(texts: DataFrame, order: dict, width: int, percent: int, classe
             for part in K.slices(batch.column(0)):
                 sets = Sets(part, width)
                 level = ranks.levels(sets.key)
-                rows, found = signatures(
+                rows, found, small = signatures(
                     sets.key, sets.row, sets.size, level, percent, classes
                 )
+                order = np.lexsort((~small, rows))
+                rows, found = rows[order], found[order]
+                roles = np.bincount(rows[small[order]], minlength=len(sets.size))
                 alone = np.bincount(sets.row[level == 0], minlength=len(sets.size))
                 cut = np.searchsorted(rows, np.arange(len(sets.size) + 1))
                 out = []
@@ -352,20 +368,21 @@ def indexed_sets(texts: DataFrame, order: dict, width: int, percent: int, classe
                         mine = found[cut[i] : cut[i + 1]].view(np.int64)
                         bits = bitmap(sets.of(i)).tolist()
                         tokens = P.pack(sets.of(i))
-                        out.append((v, int(sets.size[i]), int(alone[i]), *bits, mine, tokens))
+                        sizes = int(sets.size[i]), int(alone[i]), int(roles[i])
+                        out.append((v, *sizes, *bits, mine, tokens))
                 if len(seen) > 200_000:
                     seen.clear()
-                kinds = [pa.binary()] + [pa.int64()] * (2 + len(_BITS))
+                kinds = [pa.binary()] + [pa.int64()] * (3 + len(_BITS))
                 kinds += [pa.list_(pa.int64()), pa.binary()]
                 columns = zip(*out) if out else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                    ["v", "n", "own", *_BITS, "signatures", "tokens"],
+                    ["v", "n", "own", "roles", *_BITS, "signatures", "tokens"],
                 )
 
     bits = ", ".join(f"{b} long" for b in _BITS)
     return texts.select("text").mapInArrow(
-        run, f"v binary, n long, own long, {bits}, signatures array<long>, tokens binary"
+        run, f"v binary, n long, own long, roles long, {bits}, signatures array<long>, tokens binary"
     )
 
 
@@ -422,14 +439,17 @@ def best_partners(held: DataFrame, meta: DataFrame, percent: int) -> DataFrame:
 def across_components(
     held: DataFrame, labels: DataFrame, meta: DataFrame, percent: int
 ) -> DataFrame:
-    """(v, w) pairs of sets of different components that share a signature and may link."""
+    """(v, w) pairs of sets of different components that share a signature and may link.
+
+    One side is in its smaller role there, the other is not smaller.
+    """
     several = (
         held.groupBy("s").agg(F.min("v").alias("low"), F.max("v").alias("top")).filter("low <> top")
     )
-    marked = held.select("s", "v").join(several.select("s"), "s", "left_semi")
+    marked = held.select("s", "v", "small").join(several.select("s"), "s", "left_semi")
     marked = lookup_join(marked, labels, ["v"])
     marked = materialise(
-        marked.select("s", "v", F.coalesce("root", "v").alias("root")), "marked"
+        marked.select("s", "v", "small", F.coalesce("root", "v").alias("root")), "marked"
     )
     main = (
         marked.groupBy("s", "root")
@@ -441,16 +461,16 @@ def across_components(
     )
     open_ = lookup_join(marked.join(main, "s"), meta, ["v"], "inner")
     open_ = materialise(open_, "open")
-    # Each pair has a side outside the signature's main component.
-    few = _other(open_.filter("root <> main").drop("main")).withColumnsRenamed(
-        {"w_s": "s", "w_root": "other"}
-    )
-    return (
-        open_.join(few, "s")
-        .filter(F.expr("root <> other AND (root = main OR v < w)") & may_link(percent))
-        .select(F.least("v", "w").alias("v"), F.greatest("v", "w").alias("w"))
-        .distinct()
-    )
+    ordered = "root <> other AND (n < w_n OR n = w_n AND v < w)"
+
+    def pairs(low: DataFrame, high: DataFrame) -> DataFrame:
+        high = _other(high.drop("main", "small")).withColumnsRenamed({"w_s": "s", "w_root": "other"})
+        return low.join(high, "s").filter(F.expr(ordered) & may_link(percent)).select("v", "w")
+
+    # Each pair has a side outside the signature's main component: the smaller one or the larger.
+    small, beside = open_.filter("small"), F.expr("root <> main")
+    both = pairs(small.filter(beside), open_).unionByName(pairs(small.filter(~beside), open_.filter(beside)))
+    return both.distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -496,7 +516,8 @@ def jaccard_components(
     sets = indexed.select("v", "tokens").dropDuplicates(["v"])
     meta = indexed.select("v", "n", "own", *_BITS).dropDuplicates(["v"])
     meta = materialise(meta, "set-bitmaps")
-    held = indexed.select("v", "own", F.explode("signatures").alias("s"))
+    held = indexed.select("v", "own", "roles", F.posexplode("signatures").alias("at", "s"))
+    held = held.select("v", "own", "s", (F.col("at") < F.col("roles")).alias("small"))
     held = materialise(held.dropDuplicates(["s", "v"]), "signatures")
     links = materialise(verified(best_partners(held, meta, percent), sets, percent), "first-links")
     labels = components(links)
