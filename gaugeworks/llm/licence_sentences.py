@@ -12,7 +12,8 @@ Only recognised sentences shuffle, and the known sentences are a fixed list, whi
 
 Null or empty text, or one without a known sentence: no licences, empty lists. A sentence that
 occurs several times counts each time. Rows with equal ids are one document: their sentences are
-taken together, each row's in order, rows by their own text hash. A null id is a document too.
+taken together, each row's in order, rows by the hash of their text, equal rows one after the
+other. A null id is a document too.
 Extra columns are not read.
 """
 
@@ -28,7 +29,7 @@ from gaugeworks.session import materialise
 
 MAX_GAP = 3
 
-# Known licence sentences in plain text, by identifier. ``*`` is any text.
+# Known licence sentences in plain text, by identifier.
 SENTENCES = (
     ("reserved", "All rights reserved."),
     ("mit-title", "The MIT License (MIT)"),
@@ -169,16 +170,18 @@ def scan(
     found = (
         docs.select(
             F.col(id_col).alias("doc_id"),
-            F.xxhash64(F.col(text_col).cast("string")).alias("row"),
-            F.posexplode(F.transform(parts, normal)).alias("at", "sentence"),
+            F.md5(F.col(text_col).cast("string").cast("binary")).alias("row"),
+            F.monotonically_increasing_id().alias("copy"),  # tells equal rows apart
+            F.transform(parts, normal).alias("parts"),
         )
+        .select("doc_id", "row", "copy", F.posexplode("parts").alias("at", "sentence"))
         .join(F.broadcast(known), "sentence")
         .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("row", "at", "name"))).alias("found"))
+        .agg(F.sort_array(F.collect_list(F.struct("row", "copy", "at", "name"))).alias("found"))
     )
     # <name> for each sentence in order, | where the next one is too far off.
     far = lambda i: (
-        (F.get("found", i)["row"] != F.get("found", i - 1)["row"])
+        (F.get("found", i)["copy"] != F.get("found", i - 1)["copy"])
         | (F.get("found", i)["at"] - F.get("found", i - 1)["at"] > max_gap)
     )
     steps = F.transform(
@@ -230,17 +233,18 @@ def oracle_sql() -> str:
     norm = f"trim(regexp_replace({lower.format('s')}, '[^a-z0-9]+', ' ', 'g'))"
     return f"""
 WITH known(sentence, name) AS (VALUES {known}), part AS (
-  SELECT doc_id, unnest(p) AS s, generate_subscripts(p, 1) AS pos FROM (
-    SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '{WRAPPED}', ' \\1', 'g'),
+  SELECT doc_id, r, copy, unnest(p) AS s, generate_subscripts(p, 1) AS pos FROM (
+    SELECT doc_id, md5(text) AS r, row_number() OVER () AS copy, string_split(regexp_replace(regexp_replace(text, '{WRAPPED}', ' \\1', 'g'),
       '{quoted_stop}', '\\1' || chr(10), 'g'), chr(10)) AS p FROM documents)
 ), found AS (
-  SELECT doc_id, pos, name FROM (SELECT doc_id, pos, {norm} AS sentence FROM part) p
+  SELECT doc_id, r, copy, pos, name FROM (SELECT doc_id, r, copy, pos, {norm} AS sentence FROM part) p
   JOIN known USING (sentence)
 ), steps AS (
-  SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY pos) AS names,
-    string_agg(CASE WHEN pos - before > {MAX_GAP} THEN '|' ELSE '' END || '<' || name || '>', ''
-      ORDER BY pos) AS l
-  FROM (SELECT *, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM found)
+  SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY r, copy, pos) AS names,
+    string_agg(CASE WHEN pos - before > {MAX_GAP} OR copy <> copy_before THEN '|' ELSE '' END
+      || '<' || name || '>', '' ORDER BY r, copy, pos) AS l
+  FROM (SELECT *, lag(pos) OVER w AS before, lag(copy) OVER w AS copy_before FROM found
+        WINDOW w AS (PARTITION BY doc_id ORDER BY r, copy, pos))
   GROUP BY doc_id
 ), matched AS (
   SELECT doc_id, n, names,
