@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.operators.lookup import lookup_join
 from gaugeworks.session import fresh_path, materialise
 
 MIN_REVISIT = 100
@@ -119,7 +120,7 @@ def revisits(pages: DataFrame, id_col: str, html_col: str, least: int) -> DataFr
         .drop("n")
     )
     return (
-        narrow.join(first, "digest")
+        lookup_join(narrow, first, ["digest"], "inner")
         .filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
         .groupBy("page_id", "digest")
         .agg(F.first("refers_to").alias("refers_to"))
@@ -212,7 +213,8 @@ def read_warc(
 ) -> DataFrame:
     """The records of selected index rows: page_id, url, type, payload and what it refers to.
 
-    ``intact`` tells whether the digest of the payload read is the one in the record's head.
+    Length and digest of a response are those of the payload that was read; ``intact`` tells
+    whether they are the ones in the record's head. A revisit has no payload: its head counts.
     """
     kind = selected.schema["page_id"].dataType
     schema = T.StructType(
@@ -258,10 +260,12 @@ def read_warc(
                 for i in range(at, end):
                     low = offsets[i] - start
                     got = parse(zlib.decompress(raw[low : low + lengths[i]], 31))
-                    own = hashlib.sha256(got["payload"]).hexdigest()
-                    got["intact"] = got["record_type"] == "revisit" or (
-                        own == got["payload_digest"] and len(got["payload"]) == got["payload_bytes"]
-                    )
+                    got["intact"] = True
+                    if got["record_type"] != "revisit":
+                        head = got["payload_digest"], got["payload_bytes"]
+                        read = hashlib.sha256(got["payload"]).hexdigest(), len(got["payload"])
+                        got["payload_digest"], got["payload_bytes"] = read
+                        got["intact"] = head == read
                     found.append(got)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[at:end]]
