@@ -151,6 +151,12 @@ class Leader:
         n[at] = more
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows one by one: together their arrays would stand beside the batch once more."""
+    for values in zip(*batch.columns):
+        yield tuple(x.as_py() for x in values)
+
+
 def _round(examples: DataFrame, z: np.ndarray, n: np.ndarray, leader: Leader) -> tuple[np.ndarray, np.ndarray]:
     """The averaged state after every shard went through its examples once."""
     size = len(z)
@@ -172,8 +178,7 @@ def _round(examples: DataFrame, z: np.ndarray, n: np.ndarray, leader: Leader) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, seen = None, 0
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for of, target, buckets, amounts in zip(*columns):
+            for of, target, buckets, amounts in _rows(batch):
                 if of != shard:  # shards come one after the other
                     if seen:
                         yield sent(z, n, seen)
@@ -194,7 +199,7 @@ def _round(examples: DataFrame, z: np.ndarray, n: np.ndarray, leader: Leader) ->
             return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *parts], ["chunk", "z", "n"])
 
         for batch in batches:
-            for of, rows, *raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for of, rows, *raw in _rows(batch):
                 both = [np.frombuffer(r, np.float64) for r in raw]
                 if of != chunk:
                     if seen:
@@ -243,8 +248,8 @@ def train(
         examples = _examples(labelled, "__text", bits)
         shards = max(1, -(-min(total, max_rows) // shard_rows))
         # What is dealt is written once, so it is the same for every round and every retry.
-        dealt = examples.withColumn("shard", F.floor(F.rand(13) * shards).cast("int"))
-        dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.rand(17))
+        dealt = examples.repartition(shards).withColumn("shard", F.spark_partition_id())
+        dealt = dealt.sortWithinPartitions("shard", F.rand(17))
         dealt = materialise(dealt.select("shard", "target", "buckets", "amounts"), "examples")
         for _ in range(rounds):
             z, n = _round(dealt, z, n, leader)
@@ -253,10 +258,10 @@ def train(
 
 def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with the score (0 to 1, higher: label 1 is likelier) and the predicted label."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bits))
 
     def job(batch: pa.RecordBatch) -> list[pa.Array]:
-        weights, bits = shared.value.weights, shared.value.bits
+        weights, bits = shared.value
         out = [np.zeros(0)]
         for part in K.slices(batch.column(batch.schema.get_field_index(text_col))):
             first, bucket, value = sparse_rows(part, bits)
