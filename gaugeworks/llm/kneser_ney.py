@@ -1,17 +1,19 @@
-"""Interpolated modified Kneser-Ney language model, of order two.
+"""Interpolated modified Kneser-Ney language model of any order from two on.
 
-Counting: tasks send their distinct words and bigrams with counts, packed by range of the
-context's hash (``packed``), so a common bigram costs one entry per task and no row per token is
-shuffled. A context that holds a large share of all bigrams is spread over all ranges by its
-following word; the list of such contexts is bounded by their share. Each range is summed in one
-task and written as a file of sorted hash arrays: words (count, number of different words before),
-bigrams (count) and contexts (sum of counts, how many bigrams occur once, twice, more often).
+Counting: tasks send their distinct words and n-grams of the highest order with counts, packed by
+range of the context's hash (``packed``), so a common n-gram costs one entry per task and no row
+per token is shuffled. A context that holds a large share of all n-grams is spread over all ranges
+by its following word; the list of such contexts is bounded by their share. Each range is summed in
+one task and written as a file of sorted hash arrays: n-grams (count) and contexts (sum of counts,
+how many n-grams occur once, twice, more often). It also says for each n-gram without its first
+word how many different first words there are: the counts of the order below, down to words
+(count, number of different words before).
 
 Scoring: each worker maps the files into memory and looks up the sorted distinct keys of a slice
-of texts, so no part of the model is loaded as a whole or broadcast. Probability of w after v:
-max(c(vw) - D, 0) / c(v) + gamma(v) * P(w), where P(w) comes from the number of different words
-before w, discounted in turn and interpolated with 1 / (V + 1); discounts follow Chen and Goodman.
-Words are 64-bit hashes. The first word's context is a start mark; the end of a text is a token.
+of texts, so no part of the model is loaded as a whole or broadcast; of the maps at most ``MAPS``
+stay open. Probability of w after h: max(c(hw) - D, 0) / c(h) + gamma(h) * P(w after h without its
+first word), down to the words, interpolated with 1 / (V + 1); discounts follow Chen and Goodman.
+Words are 64-bit hashes. Before the first word stand start marks; the end of a text is a token.
 
 Null or empty text: the end token alone. Rows are judged one by one, repeated ids too. Nothing to
 learn from: V = 0 and every token has probability 1. A context without counts: P(w). Ties play no
@@ -25,6 +27,7 @@ import json
 import mmap
 import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,19 +41,25 @@ from gaugeworks.llm import tokens as K
 from gaugeworks.llm.frames import added
 from gaugeworks.session import fresh_path, materialise
 
+ORDER = 2
 FLUSH = 2_000_000
+MAPS = 8192
 # Marks that no word hashes to but by accident.
 START, END = np.uint64(0x5D1F3C2B9A87E641), np.uint64(0xE3A1C95B7D204F86)
 _TOP = np.uint64(0xFFFF000000000000)
-_BLOB = "part int, keys binary, words binary, counts binary, sizes binary"
+_BLOB = "part int, keys binary, lower binary, words binary, counts binary, sizes binary"
+_NAMES = ("keys", "lower", "words", "counts", "sizes")
 FIELDS = (
     "n_tokens long, n_known long, train_tokens long, base_score double, score double,"
     " perplexity double"
 )
 
 
-def sequences(part: K.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens of the slice's texts end to end, the token before each, where texts begin)."""
+def sequences(part: K.Slice, order: int = 1) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(tokens of the slice's texts end to end, their contexts, where texts begin).
+
+    Contexts are hashes of the 1, 2, .. ``order`` - 1 tokens before.
+    """
     data = K.LOWER[part.data]
     words = K.find_words(data, part.offsets, K.WHITE)
     hashes = K.hash_words(data, words.start, words.end)
@@ -58,33 +67,31 @@ def sequences(part: K.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = words.first + np.arange(n + 1)
     tokens = np.full(len(hashes) + n, END)
     tokens[np.arange(len(hashes)) + words.owner] = hashes
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[first[:-1]] = START
-    return tokens, before, first
+    contexts, before = [], tokens
+    for _ in range(1, order):
+        before = np.append(START, before[:-1])[: len(tokens)]
+        before[first[:-1]] = START
+        contexts.append(K.mix(K.chain(K.mix(contexts[-1]), before)) if contexts else before)
+    return tokens, contexts, first
 
 
-def bigram_key(before: np.ndarray, word: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Key of a bigram: high bits of its context, or of itself if the context is hot."""
-    own = K.mix(K.chain(K.mix(before), word))
+def gram_key(context: np.ndarray, word: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Key of an n-gram: high bits of its context, or of itself if the context is hot."""
+    own = K.mix(K.chain(K.mix(context), word))
     if not len(hot):
-        return (before & _TOP) | (own & ~_TOP)
-    spread = np.isin(before, hot)
-    return np.where(spread, own, (before & _TOP) | (own & ~_TOP))
+        return (context & _TOP) | (own & ~_TOP)
+    spread = np.isin(context, hot)
+    return np.where(spread, own, (context & _TOP) | (own & ~_TOP))
 
 
 def _row(part: int, **arrays: np.ndarray) -> tuple:
-    names = ("keys", "words", "counts", "sizes")
-    return (part, *(P.pack(arrays[n]) if n in arrays else None for n in names))
+    return (part, *(P.pack(arrays[n]) if n in arrays else None for n in _NAMES))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32()] + [pa.binary()] * 4
-    columns = list(zip(*rows)) if rows else [()] * 5
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)],
-        ["part", "keys", "words", "counts", "sizes"],
-    )
+    kinds = [pa.int32()] + [pa.binary()] * len(_NAMES)
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", *_NAMES])
 
 
 def _spaced(held: list) -> list[np.ndarray]:
@@ -162,47 +169,106 @@ def hot_contexts(words: DataFrame, texts: int, tokens: int, bits: int) -> np.nda
     return np.sort(np.append(keys, START)) if texts > least else np.sort(keys)
 
 
-def bigram_counts(texts: DataFrame, hot: np.ndarray, bits: int) -> DataFrame:
-    """Packed bigrams by range of their key: contexts, how many words each has, words, counts."""
-
-    def rows_of(held: list) -> list[tuple]:
-        key, before, word, n = _spaced(held)
-        order = np.lexsort((word, before, key >> np.uint64(64 - bits)))
-        key, before, word, n = key[order], before[order], word[order], n[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (before[1:] != before[:-1]) | (word[1:] != word[:-1])
-        at = np.flatnonzero(new)
-        n = np.add.reduceat(n, at).astype(np.uint32)
-        before, word, part = before[at], word[at], key[at] >> np.uint64(64 - bits)
-        cut = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
-        rows = []
-        for low, high in zip(cut[:-1], cut[1:]):
-            own = before[low:high]
-            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            rows.append(
-                _row(
-                    int(part[low]),
-                    keys=own[first],
-                    sizes=np.diff(np.append(first, len(own))).astype(np.uint32),
-                    words=word[low:high],
-                    counts=n[low:high],
-                )
+def hot_long_contexts(texts: DataFrame, order: int, bits: int) -> list[np.ndarray]:
+    """Contexts of 2, 3, .. ``order`` - 1 words with more than half a range's share, by length.
+
+    A task names those above a quarter of a range's share of its own tokens. One that is above
+    half overall is thereby named with a quarter at least, so the sums leave few.
+    """
+    if order < 3:
+        return []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[] for _ in range(order - 2)]
+        tokens, size = 0, 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for length, own in enumerate(held):
+                keys, n = P.summed(*_spaced(own))
+                some = n > (tokens >> (bits + 2))
+                columns = (np.full(some.sum(), length), keys[some].view(np.int64), n[some])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["length", "key", "n"])
+                own.clear()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1]), pa.array([0]), pa.array([tokens])], ["length", "key", "n"]
+            )
+
+        for batch in batches:
+            for part in K.slices(batch.column(0)):
+                words, contexts, _ = sequences(part, order)
+                for own, context in zip(held, contexts[1:]):
+                    own.append(np.unique(context, return_counts=True))
+                    size += len(own[-1][0])
+                tokens += len(words)
+                if size >= FLUSH:
+                    yield from flush()
+                    tokens, size = 0, 0
+        if tokens:
+            yield from flush()
+
+    named = texts.mapInArrow(run, "length long, key long, n long").groupBy("length", "key")
+    named = materialise(named.agg(F.sum("n").alias("n")), "hot-contexts")
+    total = named.filter("length < 0").agg(F.sum("n")).first()[0] or 0
+    rows = named.filter((F.col("length") >= 0) & (F.col("n") > (total >> (bits + 2)))).collect()
+    out = [np.array([r["key"] for r in rows if r["length"] == k], np.int64) for k in range(order - 2)]
+    return [np.sort(x.view(np.uint64)) for x in out]
+
+
+def _gram_rows(
+    key: np.ndarray, context: np.ndarray, lower: np.ndarray, word: np.ndarray, n: np.ndarray, bits: int
+) -> list[tuple]:
+    """Packed rows by range of the key, each n-gram once; ``lower`` has the shorter contexts in rows."""
+    part = key >> np.uint64(64 - bits)
+    order = np.lexsort((word, context, part))
+    part, context, word, n, lower = part[order], context[order], word[order], n[order], lower[:, order]
+    new = np.ones(len(part), bool)
+    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
+    at = np.flatnonzero(new)
+    n = np.add.reduceat(n, at).astype(np.uint32)  # of one flush: it holds far fewer n-grams
+    part, context, word, lower = part[at], context[at], word[at], lower[:, at]
+    cut = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+    rows = []
+    for low, high in zip(cut[:-1], cut[1:]):
+        own = context[low:high]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        rows.append(
+            _row(
+                int(part[low]),
+                keys=own[first],
+                lower=np.ascontiguousarray(lower[:, low + first]).reshape(-1),
+                sizes=np.diff(np.append(first, len(own))).astype(np.uint32),
+                words=word[low:high],
+                counts=n[low:high],
             )
-        return rows
+        )
+    return rows
+
+
+def gram_counts(texts: DataFrame, order: int, hot: np.ndarray, bits: int) -> DataFrame:
+    """Packed n-grams of the highest order by range of their key: contexts, how many words each has,
+    the shorter contexts, words, counts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            context, word = (np.concatenate(x) for x in zip(*((h[0][-1], h[1]) for h in held)))
+            lower = np.zeros((order - 2, len(word)), np.uint64)
+            for i in range(order - 2):  # from the longest to the shortest
+                lower[i] = np.concatenate([h[0][-2 - i] for h in held])
+            key = gram_key(context, word, hot)
+            return _batch(_gram_rows(key, context, lower, word, np.ones(len(key), np.int64), bits))
+
         for batch in batches:
             for part in K.slices(batch.column(0)):
-                word, before, _ = sequences(part)
-                key = bigram_key(before, word, hot)
-                held.append((key, before, word, np.ones(len(key), np.int64)))
-                size += len(key)
+                word, contexts, _ = sequences(part, order)
+                held.append((contexts, word))
+                size += len(word)
                 if size >= FLUSH:
-                    yield _batch(rows_of(held))
+                    yield flush()
                     held, size = [], 0
         if size:
-            yield _batch(rows_of(held))
+            yield flush()
 
     return texts.mapInArrow(send, _BLOB)
 
@@ -243,30 +309,49 @@ class Mapped:
             at += n * np.dtype(kind).itemsize
 
 
-def reduce_bigrams(sent: DataFrame, hot: np.ndarray, bits: int, path: str) -> DataFrame:
-    """Write each range's bigrams and contexts; return what else follows from them.
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits if they fit, else in 64."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64)
+
+
+_REDUCED = f"kind string, file string, shape string, {_BLOB}"
+
 
-    Rows: kind 'file' (sizes of the arrays, how many bigrams have count 1 to 4), kind 'before'
-    (packed: number of different contexts of each word, by the word's range), kind 'hot' (sums
-    of a spread context in this range).
+def reduce_grams(
+    sent: DataFrame, order: int, hot: np.ndarray, below: np.ndarray, bits: int, path: str
+) -> DataFrame:
+    """Write each range's n-grams and contexts; return what else follows from them.
+
+    Rows: kind 'file' (sizes and types of the arrays, how many n-grams have count 1 to 4), kind
+    'lower' (packed n-grams of the order below with the number of different words before them, by
+    range; for order two these are words), kind 'hot' (sums of a spread context in this range).
+    ``below`` are the spread contexts of the order below.
     """
 
     def reduce(group: pa.Table) -> pa.Table:
         part = group.column("part")[0].as_py()
-        befores, words, counts = [], [], []
-        for row in group.select(["keys", "sizes", "words", "counts"]).to_pylist():
+        parts: list[tuple] = []
+        for row in group.select(list(_NAMES)).to_pylist():
             sizes = P.unpack(row["sizes"], np.uint32)
-            befores.append(np.repeat(P.unpack(row["keys"], np.uint64), sizes))
-            words.append(P.unpack(row["words"], np.uint64))
-            counts.append(P.unpack(row["counts"], np.uint32))
-        before, word = np.concatenate(befores), np.concatenate(words)
-        n = np.concatenate(counts).astype(np.int64)
-        del befores, words, counts
-        order = np.lexsort((word, before))
-        before, word, n = before[order], word[order], n[order]
-        first = np.append(True, (before[1:] != before[:-1]) | (word[1:] != word[:-1]))
-        at = np.flatnonzero(first)
-        n, before, word = np.add.reduceat(n, at), before[at], word[at]
+            contexts = P.unpack(row["keys"], np.uint64)
+            if order > 2:
+                contexts = np.append(contexts, P.unpack(row["lower"], np.uint64))
+            parts.append(
+                (
+                    contexts.reshape(order - 1, len(sizes)).repeat(sizes, axis=1),
+                    P.unpack(row["words"], np.uint64),
+                    P.unpack(row["counts"], np.uint32).astype(np.int64),
+                )
+            )
+        contexts = np.concatenate([x[0] for x in parts], axis=1)
+        word, n = (np.concatenate([x[i] for x in parts]) for i in (1, 2))
+        del parts
+        sort = np.lexsort((word, contexts[0]))
+        contexts, word, n = contexts[:, sort], word[sort], n[sort]
+        before = contexts[0]
+        at = np.flatnonzero(np.append(True, (before[1:] != before[:-1]) | (word[1:] != word[:-1])))
+        n, contexts, word = np.add.reduceat(n, at), contexts[:, at], word[at]
+        before, lower = contexts[0], contexts[1:]
         # Contexts.
         at = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
         context = before[at]
@@ -274,32 +359,35 @@ def reduce_bigrams(sent: DataFrame, hot: np.ndarray, bits: int, path: str) -> Da
             [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n > 2)]
         )
         spread = np.isin(context, hot)
-        key = bigram_key(before, word, hot)
-        order = np.argsort(key)
-        own = context[~spread]
-        name = f"{path}/grams-{part:06d}-{uuid.uuid4().hex}"
-        arrays = [key[order], own, n[order].astype(np.uint32)]
-        arrays += [x[~spread].astype(np.uint32) for x in sums]
+        key = gram_key(before, word, hot)
+        sort = np.argsort(key)
+        name = f"{path}/grams-{order}-{part:06d}-{uuid.uuid4().hex}"
+        arrays = [key[sort], context[~spread], _narrow(n[sort])]
+        arrays += [_narrow(x[~spread]) for x in sums]
         _write(name, arrays)
-        known, times = np.unique(word, return_counts=True)
-        rows = [("file", part, name, json.dumps([len(key), len(own)]), None, None)]
-        rows[0] = (*rows[0][:4], None, P.pack(np.bincount(np.minimum(n, 5), minlength=6)))
-        for where, at in P.ranges(known, bits):
-            rows.append(
-                ("before", where, None, None, P.pack(known[at]), P.pack(times[at].astype(np.uint64)))
-            )
+        shape = json.dumps([(x.dtype.str, len(x)) for x in arrays])
+        found = P.pack(np.bincount(np.minimum(n, 5), minlength=6))
+        empty = (None,) * len(_NAMES)
+        rows: list[tuple] = [("file", name, shape, part, None, None, None, found, None)]
+        if order == 2:
+            known, times = np.unique(word, return_counts=True)
+            for lower_row in _word_rows(known, times, bits):
+                rows.append(("lower", None, None, *lower_row))
+        else:
+            lower_key = gram_key(lower[0], word, below)
+            ones = np.ones(len(word), np.int64)
+            for lower_row in _gram_rows(lower_key, lower[0], lower[1:], word, ones, bits):
+                rows.append(("lower", None, None, *lower_row))
         if spread.any():
-            rows.append(
-                ("hot", part, None, None, P.pack(context[spread]), P.pack(sums[:, spread].reshape(-1)))
-            )
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.binary(), pa.binary()]
+            own = _row(part, keys=context[spread], counts=np.ascontiguousarray(sums[:, spread]).reshape(-1))
+            rows.append(("hot", None, None, *own))
+        kinds = [pa.string()] * 3 + [pa.int32()] + [pa.binary()] * len(empty)
         return pa.table(
             [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-            names=["kind", "part", "file", "sizes", "keys", "counts"],
+            names=["kind", "file", "shape", "part", *_NAMES],
         )
 
-    schema = "kind string, part int, file string, sizes string, keys binary, counts binary"
-    return sent.groupBy("part").applyInArrow(reduce, schema)
+    return sent.groupBy("part").applyInArrow(reduce, _REDUCED)
 
 
 def reduce_words(words: DataFrame, befores: DataFrame, path: str) -> DataFrame:
@@ -308,20 +396,21 @@ def reduce_words(words: DataFrame, befores: DataFrame, path: str) -> DataFrame:
     def reduce(group: pa.Table) -> pa.Table:
         part = group.column("part")[0].as_py()
         own = group.filter(pa.compute.equal(group.column("kind"), "word"))
-        other = group.filter(pa.compute.equal(group.column("kind"), "before"))
+        other = group.filter(pa.compute.equal(group.column("kind"), "lower"))
         keys, n = _merged_words(own)
         before = np.zeros(len(keys), np.uint64)
         if other.num_rows:
             known, times = _merged_words(other)
             before[np.searchsorted(keys, known)] = times
         name = f"{path}/words-{part:06d}-{uuid.uuid4().hex}"
-        _write(name, [keys, n, before.astype(np.uint32)])
+        arrays = [keys, n, _narrow(before)]
+        _write(name, arrays)
         found = np.bincount(np.minimum(before, 5).astype(np.int64), minlength=6)
         return pa.table(
             {
                 "part": pa.array([part], pa.int32()),
                 "file": [name],
-                "size": [len(keys)],
+                "shape": [json.dumps([(x.dtype.str, len(x)) for x in arrays])],
                 "counts": pa.array([P.pack(found)], pa.binary()),
                 "total": [int(before.sum())],
             }
@@ -330,7 +419,7 @@ def reduce_words(words: DataFrame, befores: DataFrame, path: str) -> DataFrame:
     both = words.select(F.lit("word").alias("kind"), "part", "keys", "counts").unionByName(
         befores.select("kind", "part", "keys", "counts")
     )
-    schema = "part int, file string, size long, counts binary, total long"
+    schema = "part int, file string, shape string, counts binary, total long"
     return both.groupBy("part").applyInArrow(reduce, schema)
 
 
@@ -344,6 +433,16 @@ def discounts(counts: np.ndarray) -> list[float]:
     return [min(max(d, 0.0), k + 1.0) for k, d in enumerate(raw)]
 
 
+@dataclass
+class Grams:
+    """One order: its spread contexts with their sums, files by range, and discounts."""
+
+    hot: np.ndarray
+    hot_sums: np.ndarray
+    files: dict[int, tuple[str, str]]
+    discounts: list[float]
+
+
 @dataclass
 class Model:
     """Where the arrays are, and the few numbers that hold for all of them."""
@@ -351,18 +450,21 @@ class Model:
     bits: int
     tokens: int
     vocabulary: int
-    hot: np.ndarray
-    hot_sums: np.ndarray
-    grams: dict[int, tuple[str, int, int]]
-    words: dict[int, tuple[str, int]]
-    gram_discounts: list[float]
+    grams: list[Grams]  # of order 2, 3, ..
+    words: dict[int, tuple[str, str]]
     word_discounts: list[float]
     word_counts: list[int]
     word_total: int
 
+    @property
+    def order(self) -> int:
+        return len(self.grams) + 1
+
 
-def train(docs: DataFrame, text_col: str = "text", path: str | None = None) -> Model:
+def train(docs: DataFrame, text_col: str = "text", path: str | None = None, order: int = ORDER) -> Model:
     """Count all rows of ``docs`` and write the model's files under ``path``."""
+    if order < 2:
+        raise ValueError("the order must be 2 at least")
     spark = docs.sparkSession
     path = path or fresh_path(spark, "kneser-ney")
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -370,30 +472,31 @@ def train(docs: DataFrame, text_col: str = "text", path: str | None = None) -> M
     words = materialise(word_counts(texts, bits), "words")
     tokens, vocabulary = word_totals(words)
     # A text has one end token, whose count is the number of texts.
-    hot = hot_contexts(words, texts.count(), tokens, bits)
-    reduced = materialise(
-        reduce_bigrams(bigram_counts(texts, hot, bits), hot, bits, path), "bigrams"
-    )
-    files = reduced.filter("kind = 'file'").select("part", "file", "sizes", "counts").collect()
-    spread = reduced.filter("kind = 'hot'").select("keys", "counts").collect()
-    sums = np.zeros((4, len(hot)), np.int64)
-    for row in spread:  # one row per range, for the bounded list of spread contexts
-        at = np.searchsorted(hot, P.unpack(row["keys"], np.uint64))
-        sums[:, at] += P.unpack(row["counts"], np.int64).reshape(4, -1)
-    rows = materialise(
-        reduce_words(words, reduced.filter("kind = 'before'"), path), "word-files"
-    ).collect()
+    spread = [hot_contexts(words, texts.count(), tokens, bits), *hot_long_contexts(texts, order, bits)]
     none = np.zeros(6, np.int64)
+    grams: list[Grams] = []
+    sent = gram_counts(texts, order, spread[-1], bits)
+    for k in range(order, 1, -1):
+        hot, below = spread[k - 2], spread[k - 3] if k > 2 else spread[0]
+        reduced = materialise(reduce_grams(sent, k, hot, below, bits, path), f"grams-{k}")
+        files = reduced.filter("kind = 'file'").select("part", "file", "shape", "counts").collect()
+        sums = np.zeros((4, len(hot)), np.int64)
+        for row in reduced.filter("kind = 'hot'").select("keys", "counts").collect():
+            # One row per range, for the bounded list of spread contexts.
+            at = np.searchsorted(hot, P.unpack(row["keys"], np.uint64))
+            sums[:, at] += P.unpack(row["counts"], np.int64).reshape(4, -1)
+        found = sum((P.unpack(r["counts"], np.int64) for r in files), none)
+        grams.insert(0, Grams(hot, sums, {r["part"]: (r["file"], r["shape"]) for r in files}, discounts(found)))
+        sent = reduced.filter("kind = 'lower'").select("part", *_NAMES)
+    befores = sent.withColumn("kind", F.lit("lower"))
+    rows = materialise(reduce_words(words, befores, path), "word-files").collect()
     in_words = sum((P.unpack(r["counts"], np.int64) for r in rows), none)
     return Model(
         bits,
         tokens,
         vocabulary,
-        hot,
-        sums,
-        {r["part"]: (r["file"], *json.loads(r["sizes"])) for r in files},
-        {r["part"]: (r["file"], r["size"]) for r in rows},
-        discounts(sum((P.unpack(r["counts"], np.int64) for r in files), none)),
+        grams,
+        {r["part"]: (r["file"], r["shape"]) for r in rows},
         discounts(in_words),
         [int(in_words[1]), int(in_words[2]), int(in_words[3:].sum())],
         sum(r["total"] for r in rows),
@@ -405,30 +508,24 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.files: dict[str, list[np.ndarray]] = {}
+        self.files: OrderedDict[str, list[np.ndarray]] = OrderedDict()
 
-    def _arrays(self, name: str, kinds: list[tuple[str, int]]) -> list[np.ndarray]:
+    def _arrays(self, files: dict[int, tuple[str, str]], part: int) -> list[np.ndarray] | None:
+        if part not in files:
+            return None
+        name, shape = files[part]
         if name not in self.files:
-            self.files[name] = Mapped(name, kinds).arrays
+            if len(self.files) >= MAPS:  # a process may have only so many maps
+                self.files.popitem(last=False)
+            self.files[name] = Mapped(name, json.loads(shape)).arrays
+        self.files.move_to_end(name)
         return self.files[name]
 
-    def _grams(self, part: int) -> list[np.ndarray] | None:
-        if part not in self.model.grams:
-            return None
-        name, n, m = self.model.grams[part]
-        return self._arrays(name, [("<u8", n), ("<u8", m), ("<u4", n)] + [("<u4", m)] * 4)
-
-    def _words(self, part: int) -> list[np.ndarray] | None:
-        if part not in self.model.words:
-            return None
-        name, n = self.model.words[part]
-        return self._arrays(name, [("<u8", n), ("<u8", n), ("<u4", n)])
-
-    def _find(self, keys: np.ndarray, arrays, column: int, values: list[int]) -> list[np.ndarray]:
+    def _find(self, keys: np.ndarray, files: dict, column: int, values: list[int]) -> list[np.ndarray]:
         """Values of sorted keys, 0 where there is none."""
         out = [np.zeros(len(keys), np.float64) for _ in values]
         for part, at in P.ranges(keys, self.model.bits):
-            held = arrays(part)
+            held = self._arrays(files, part)
             if held is None or not len(held[column]):
                 continue
             place = np.minimum(np.searchsorted(held[column], keys[at]), len(held[column]) - 1)
@@ -441,11 +538,11 @@ class Scorer:
     def _discount(counts: np.ndarray, d: list[float]) -> np.ndarray:
         return np.maximum(counts - np.array([0.0, *d])[np.minimum(counts, 3).astype(int)], 0.0)
 
-    def scores(self, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
+    def scores(self, word: np.ndarray, contexts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         """(count, log10 of the base and of the model) of each token."""
         m = self.model
         keys, back = np.unique(word, return_inverse=True)
-        count, befores = self._find(keys, self._words, 0, [1, 2])
+        count, befores = self._find(keys, m.words, 0, [1, 2])
         base = np.log10((count + 0.5) / (m.tokens + 0.5 * (m.vocabulary + 1)))
         uniform = 1.0 / (m.vocabulary + 1)
         if m.word_total:
@@ -453,21 +550,27 @@ class Scorer:
             lower = self._discount(befores, m.word_discounts) / m.word_total + left * uniform
         else:
             lower = np.full(len(keys), uniform)
-        count, base, lower = count[back], base[back], lower[back]
-        contexts, which = np.unique(before, return_inverse=True)
-        total, one, two, more = self._find(contexts, self._grams, 1, [3, 4, 5, 6])
-        at = np.searchsorted(m.hot, contexts)
-        is_hot = np.isin(contexts, m.hot)
-        for x, sums in zip((total, one, two, more), m.hot_sums):
+        count, base, found = count[back], base[back], lower[back]
+        for grams, context in zip(m.grams, contexts):  # from short contexts to long ones
+            found = self._after(grams, word, context, found)
+        return count, base, np.log10(found)
+
+    def _after(self, grams: Grams, word: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities after a context, from those after the shorter one."""
+        keys, which = np.unique(context, return_inverse=True)
+        total, one, two, more = self._find(keys, grams.files, 1, [3, 4, 5, 6])
+        at = np.searchsorted(grams.hot, keys)
+        is_hot = np.isin(keys, grams.hot)
+        for x, sums in zip((total, one, two, more), grams.hot_sums):
             x[is_hot] = sums[at[is_hot]]
-        held = sum(d * x for d, x in zip(m.gram_discounts, (one, two, more)))
+        held = sum(d * x for d, x in zip(grams.discounts, (one, two, more)))
         total, held = total[which], held[which]
-        grams, place = np.unique(bigram_key(before, word, m.hot), return_inverse=True)
-        (seen,) = self._find(grams, self._grams, 0, [2])
+        keys, place = np.unique(gram_key(context, word, grams.hot), return_inverse=True)
+        (seen,) = self._find(keys, grams.files, 0, [2])
         known = total > 0
         some = np.where(known, total, 1.0)
-        upper = self._discount(seen[place], m.gram_discounts) / some + held / some * lower
-        return count, base, np.log10(np.where(known, upper, lower))
+        upper = self._discount(seen[place], grams.discounts) / some + held / some * lower
+        return np.where(known, upper, lower)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -480,8 +583,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             out: list[tuple[np.ndarray, ...]] = []
             for part in K.slices(batch.column(batch.schema.get_field_index(text_col))):
-                word, before, first = sequences(part)
-                count, base, log = scorer.scores(word, before)
+                word, contexts, first = sequences(part, scorer.model.order)
+                count, base, log = scorer.scores(word, contexts)
                 begin = first[:-1]
                 out.append(
                     (

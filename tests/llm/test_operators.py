@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import itertools
+import json
 import math
 import re
 import zlib
@@ -652,48 +653,83 @@ def test_plan_fills_bins():
 # --- 8 -------------------------------------------------------------------------------
 
 
-def test_kneser_ney(spark, documents, prose):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney(spark, documents, prose, order, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "MAPS", 3)
     rows = AWKWARD + [(30 + k, prose(k % 5, 60) + " " + prose(k, 30)) for k in range(40)]
     train = [r for r in rows if r[0] is not None and r[0] % 3]
-    model = kneser_ney.train(documents(train))
+    model = kneser_ney.train(documents(train), order=order)
     got = kneser_ney.score(documents(rows).withColumn("score", F.lit("clash")), model).collect()
     seqs = [words(lower(t)) + [None] for _, t in train]
     c = collections.Counter(w for s in seqs for w in s)
     n, v = sum(c.values()), len(c)
-    grams = collections.Counter(g for s in seqs for g in zip([0, *s[:-1]], s))
-    lower_counts = collections.Counter(w for _, w in grams)
 
-    def cut(counter):
-        return [0.0, *kneser_ney.discounts(np.bincount([min(x, 5) for x in counter.values()], minlength=6))]
-
-    d2, d1, total = cut(grams), cut(lower_counts), sum(lower_counts.values())
-    rest = sum(d1[min(x, 3)] for x in lower_counts.values()) / total
+    def grams_of(own):
+        full = [0] * (order - 1) + own
+        return [tuple(full[i : i + order]) for i in range(len(own))]
+
+    # Counts by order: those of the highest, then numbers of different first words.
+    counts = {order: collections.Counter(g for s in seqs for g in grams_of(s))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+    cut = {
+        k: [0.0, *kneser_ney.discounts(np.bincount([min(x, 5) for x in own.values()], minlength=6))]
+        for k, own in counts.items()
+    }
     context = collections.defaultdict(lambda: [0, 0.0])
-    for (u, _), x in grams.items():
-        context[u][0] += x
-        context[u][1] += d2[min(x, 3)]
-
-    def unigram(w):
-        x = lower_counts[w]
-        return max(x - d1[min(x, 3)], 0) / total + rest / (v + 1)
+    for k, own in counts.items():
+        for g, x in own.items():
+            context[g[:-1]][0] += x
+            context[g[:-1]][1] += cut[k][min(x, 3)]
+
+    def probability(g):
+        shorter = probability(g[1:]) if len(g) > 1 else 1 / (v + 1)
+        if g[:-1] not in context:
+            return shorter
+        x, (all_, held) = counts[len(g)][g], context[g[:-1]]
+        return max(x - cut[len(g)][min(x, 3)], 0) / all_ + held / all_ * shorter
 
     for r in got:
         own = words(lower(r.text)) + [None]
-        log = base = 0.0
-        for u, w in zip([0, *own[:-1]], own):
-            base += math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1)))
-            if u in context:
-                x, (all_, held) = grams[u, w], context[u]
-                log += math.log10(max(x - d2[min(x, 3)], 0) / all_ + held / all_ * unigram(w))
-            else:
-                log += math.log10(unigram(w))
+        base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
+        log = sum(math.log10(probability(g)) for g in grams_of(own))
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(c[w] > 0 for w in own), n)
         assert r.score == pytest.approx(log) and r.base_score == pytest.approx(base)
     # The distribution after a context sums to one, with one unknown word.
-    some = next(u for u in context if u)
-    x, held = context[some]
-    mass = sum(max(grams[some, w] - d2[min(grams[some, w], 3)], 0) / x + held / x * unigram(w) for w in c)
-    assert mass + held / x * unigram("unseen") == pytest.approx(1.0)
+    some = next(g[:-1] for g in counts[order] if 0 not in g)
+    assert sum(probability((*some, w)) for w in c) + probability((*some, "unseen")) == pytest.approx(1.0)
+
+
+def test_counts_beyond_32_bits(spark, tmp_path):
+    """A count that two tasks bring beyond 2^32 is kept as it is, in the file and when it is looked up."""
+    most = 2**32 - 1
+    own = [
+        kneser_ney._row(
+            0, keys=np.array([5], np.uint64), sizes=np.array([2], np.uint32), lower=np.zeros(0, np.uint64),
+            words=np.array([7, 8], np.uint64), counts=np.array([most, 1], np.uint32),
+        )
+    ] * 3
+    sent = spark.createDataFrame([tuple(bytes(x) if isinstance(x, bytes) else x for x in r) for r in own], kneser_ney._BLOB)
+    none = np.zeros(0, np.uint64)
+    found = kneser_ney.reduce_grams(sent, 2, none, none, 4, str(tmp_path)).filter("kind = 'file'").first()
+    keys, contexts, counts, total, one, two, more = kneser_ney.Mapped(found["file"], json.loads(found["shape"])).arrays
+    assert sorted(counts.tolist()) == [3, 3 * most] and total.tolist() == [3 * most + 3]
+    assert counts.dtype == np.uint64 and one.dtype == np.uint32 and more.tolist() == [2]
+    words_ = spark.createDataFrame([kneser_ney._row(0, keys=keys[:1], counts=np.array([2**40], np.uint64))], kneser_ney._BLOB)
+    nothing = words_.withColumn("kind", F.lit("lower")).limit(0)
+    held = kneser_ney.reduce_words(words_, nothing, str(tmp_path)).first()
+    assert kneser_ney.Mapped(held["file"], json.loads(held["shape"])).arrays[1].tolist() == [2**40]
+
+
+def test_common_long_contexts_are_spread(spark, documents):
+    """Contexts of two words that hold much of the text are found, others are not."""
+    rows = [(i, "a b c " * 50 + f"x{i} y{i}") for i in range(60)]
+    texts = documents(rows).select("text")
+    (hot,) = kneser_ney.hot_long_contexts(texts, 3, 3)
+    one = next(tokens.slices(pa.array([rows[0][1]])))
+    _, contexts, _ = kneser_ney.sequences(one, 3)
+    assert {int(contexts[1][i]) for i in (2, 3, 4)} <= set(hot.tolist()) and len(hot) <= 8
+    assert kneser_ney.hot_long_contexts(texts, 2, 3) == []
 
 
 def test_kneser_ney_empty(documents):
