@@ -1,9 +1,11 @@
 """Nearest site of every event by planar distance in degrees; ties go to the lowest gid.
 
-Two ways to the same result:
+Three ways to the same result:
 
 * ``inline``: a site list of proven small size goes to every task. Each event is
   answered in its own row, so the events are neither joined nor shuffled for it.
+* ``tree``: so does a list of up to ``TREE_SITES``, packed into a tree of boxes
+  that each task walks with array arithmetic.
 * ``packed``: sites are sorted along a space-filling curve and packed into runs of
   16, runs of runs and so on. Distinct event positions walk down that tree one
   level per join, keeping only boxes that can still hold the nearest site. A node
@@ -16,11 +18,14 @@ in floating point is never wrong about the points inside the box.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import is_finite
@@ -29,6 +34,7 @@ from gaugeworks.session import materialise
 
 FAN_BITS = 4  # of a packed node
 INLINE_SITES = 2048
+TREE_SITES = 250_000
 BATCH_CELLS = 1_000_000  # distances computed at once by a task
 BROADCAST_NODES = 250_000
 NODE_SALTS = 16
@@ -97,36 +103,111 @@ def _boxes(points: DataFrame, shift: int) -> DataFrame:
     )
 
 
-def _inline(events: DataFrame, listed: list[Row], kind: str, lat: str, lon: str) -> DataFrame:
-    """Answer each event in its row from a list of at most a few thousand sites, by gid.
+class _Listed:
+    """A short list, by gid: every distance is computed."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray) -> None:
+        self.lat, self.lon = lat, lon
+
+    def find(self, lats: np.ndarray, lons: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the nearest site, squared distance) per position."""
+        best, near = np.empty(len(lats), int), np.empty(len(lats))
+        step = max(1, BATCH_CELLS // len(self.lat))
+        for start in range(0, len(lats), step):
+            some = slice(start, start + step)
+            d_lat = lats[some, None] - self.lat
+            d_lon = lons[some, None] - self.lon
+            squares = d_lat * d_lat + d_lon * d_lon
+            best[some] = squares.argmin(axis=1)  # the first minimum is the lowest gid
+            near[some] = squares.min(axis=1)
+        return best, near
+
+
+class _Tree:
+    """Boxes in the order of a curve, packed by ``1 << FAN_BITS`` level by level.
+
+    A box is (lat_lo, lat_hi, lon_lo, lon_hi) with a site of its own in (lat, lon). ``rank``
+    settles ties between boxes that are sites.
+    """
+
+    def __init__(self, levels: list[list[np.ndarray]], rank: np.ndarray) -> None:
+        self.levels, self.rank = levels, rank
+
+    @staticmethod
+    def pack(boxes: list[np.ndarray]) -> list[list[np.ndarray]]:
+        """The levels of a tree over ``boxes``, from them to the top."""
+        fan, levels = 1 << FAN_BITS, [boxes]
+        while len(boxes[0]) > fan:
+            first = np.arange(0, len(boxes[0]), fan)
+            middle = np.minimum(first + fan // 2, len(boxes[0]) - 1)
+            folds = (np.minimum, np.maximum, np.minimum, np.maximum)
+            boxes = [f.reduceat(x, first) for f, x in zip(folds, boxes)] + [x[middle] for x in boxes[4:]]
+            levels.append(boxes)
+        return levels
+
+    def walk(self, lats: np.ndarray, lons: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, box) that may hold the nearest site, and the bound of every position."""
+        fan, top = 1 << FAN_BITS, len(self.levels[-1][0])
+        np.seterr(over="ignore")  # far off the globe every distance may be infinite
+        bound = np.full(len(lats), np.inf)
+        of, node = np.repeat(np.arange(len(lats)), top), np.tile(np.arange(top), len(lats))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            lat_lo, lat_hi, lon_lo, lon_hi, lat, lon = (x[node] for x in self.levels[depth])
+            at_lat, at_lon = lats[of], lons[of]
+            d_lat = np.maximum(np.maximum(lat_lo - at_lat, at_lat - lat_hi), 0.0)
+            d_lon = np.maximum(np.maximum(lon_lo - at_lon, at_lon - lon_hi), 0.0)
+            near = d_lat * d_lat + d_lon * d_lon
+            # The box's own site is a candidate, so its distance is a bound. Every position has boxes left.
+            d_lat, d_lon = at_lat - lat, at_lon - lon
+            firsts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            bound = np.minimum(bound, np.minimum.reduceat(d_lat * d_lat + d_lon * d_lon, firsts))
+            left = near <= bound[of]
+            of, node = of[left], node[left]
+            if depth:
+                if len(of) * fan > 4 * BATCH_CELLS and len(lats) > 1:  # many boxes at one distance
+                    half = len(lats) // 2
+                    parts = (self.walk(lats[:half], lons[:half]), self.walk(lats[half:], lons[half:]))
+                    parts[1][0][:] += half
+                    return tuple(np.concatenate(x) for x in zip(*parts))
+                node = (node[:, None] * fan + np.arange(fan)).ravel()
+                of = np.repeat(of, fan)
+                real = node < len(self.levels[depth - 1][0])
+                of, node = of[real], node[real]
+        return of, node, bound
+
+    def find(self, lats: np.ndarray, lons: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the nearest site, squared distance) per position, where boxes are sites."""
+        best, near = np.empty(len(lats), int), np.empty(len(lats))
+        step = max(1, BATCH_CELLS >> (2 * FAN_BITS))
+        for start in range(0, len(lats), step):
+            some = slice(start, start + step)
+            of, node, near[some] = self.walk(lats[some], lons[some])
+            order = np.lexsort((self.rank[node], of))
+            firsts = np.append(True, of[order][1:] != of[order][:-1])
+            best[some] = node[order][firsts]
+        return best, near
+
+
+def _answered(events: DataFrame, ready: PreparedSites, lat: str, lon: str) -> DataFrame:
+    """Answer each event in its row from a list that every task holds.
 
     Arrow batches and array arithmetic; the same as a built-in higher-order function
     takes several times as long, the more the longer the list. Each different position
     of a batch is measured once.
     """
-    site_lat = np.array([r["lat"] for r in listed], dtype=float)
-    site_lon = np.array([r["lon"] for r in listed], dtype=float)
-    # As objects: a float could not hold every 64-bit id.
-    gids = np.array([r["gid"] for r in listed] + [None], dtype=object)
-    step = max(1, BATCH_CELLS // max(1, len(listed)))
+    shared = ready.shared
 
-    @F.pandas_udf(f"d2 double, gid {kind}")
+    @F.pandas_udf(f"d2 double, gid {ready.kind}")
     def nearest(lats: pd.Series, lons: pd.Series) -> pd.DataFrame:
+        way, arrays, gids = shared.value
+        finder = {"list": _Listed, "tree": _Tree}[way](*arrays) if len(gids) > 1 else None
         lats, lons = lats.to_numpy(float, na_value=np.nan), lons.to_numpy(float, na_value=np.nan)
-        best = np.full(len(lats), len(listed))
+        best = np.full(len(lats), len(gids) - 1)
         d2 = np.full(len(lats), np.nan)
-        usable = np.flatnonzero(np.isfinite(lats) & np.isfinite(lons)) if len(listed) else []
+        usable = np.flatnonzero(np.isfinite(lats) & np.isfinite(lons)) if finder else []
         if len(usable):
             codes, places = pd.factorize(lats[usable] + 1j * lons[usable])
-            found, near = np.empty(len(places), int), np.empty(len(places))
-            for start in range(0, len(places), step):
-                some = places[start : start + step, None]
-                d_lat = some.real - site_lat
-                d_lon = some.imag - site_lon
-                squares = d_lat * d_lat + d_lon * d_lon
-                # The first minimum is the lowest gid.
-                found[start : start + step] = squares.argmin(axis=1)
-                near[start : start + step] = squares.min(axis=1)
+            found, near = finder.find(places.real, places.imag)
             best[usable], d2[usable] = found[codes], near[codes]
         return pd.DataFrame({"d2": d2, "gid": pd.Series(gids[best], dtype=object)})
 
@@ -136,6 +217,24 @@ def _inline(events: DataFrame, listed: list[Row], kind: str, lat: str, lon: str)
     )
 
 
+def _finder(points: DataFrame, most: int, short: int):
+    """(way, its arrays, gids by place) for the tasks, or None if there are more than ``most``."""
+    rows = points.select(_curve("lat", "lon").alias("z"), "lat", "lon", "gid").limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return None
+    rows = rows.sort_by("gid")  # places in this order settle ties
+    lat, lon = rows.column("lat").to_numpy() + 0.0, rows.column("lon").to_numpy() + 0.0
+    # As objects: a float could not hold every 64-bit id. The last one stands for no site.
+    gids = np.empty(rows.num_rows + 1, dtype=object)
+    gids[:-1] = rows.column("gid").to_pylist()
+    if rows.num_rows <= short or not rows.num_rows:
+        return "list", (lat, lon), gids
+    order = np.lexsort((lon, lat, rows.column("z").to_numpy()))
+    gids[:-1] = gids[:-1][order]
+    lat, lon = lat[order], lon[order]
+    return "tree", (_Tree.pack([lat, lat, lon, lon, lat, lon]), order), gids
+
+
 def _packed_points(points: DataFrame) -> DataFrame:
     """Sort sites along the curve, number them and keep the numbering as a table.
 
@@ -185,25 +284,57 @@ def _visit(
     )
 
 
+def _upper_levels(positions: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(position, bound, node) for the boxes of a level that may hold the nearest site.
+
+    ``boxes`` are few enough for every task: the levels above them are walked in one step, in
+    the position's own task.
+    """
+    rows = boxes.orderBy("id").toArrow()
+    names = ("lat_lo", "lat_hi", "lon_lo", "lon_hi", "lat", "lon")
+    levels = _Tree.pack([rows.column(n).to_numpy() for n in names])
+    ids = rows.column("id").to_numpy()
+    shared = positions.sparkSession.sparkContext.broadcast((levels, ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, ids = shared.value
+        tree, step = _Tree(levels, ids), max(1, BATCH_CELLS >> (2 * FAN_BITS))
+        for batch in batches:
+            number, lat, lon = (batch.column(i).to_numpy() for i in range(3))
+            for start in range(0, len(number) if len(ids) else 0, step):
+                some = slice(start, start + step)
+                of, node, bound = tree.walk(lat[some], lon[some])
+                columns = (number[some][of], lat[some][of], lon[some][of], bound[of], ids[node])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema.names)
+
+    schema = positions.sparkSession.createDataFrame(
+        [], "__id long, __lat double, __lon double, __bound double, node long"
+    ).schema
+    return positions.select("__id", *_POSITION).mapInArrow(run, schema)
+
+
 def _packed_answers(
     positions: DataFrame, points: DataFrame, broadcast_nodes: int, salts: int
 ) -> DataFrame:
     """(position) -> (d2, gid) by walking down the packed levels.
 
-    Positions are numbered, in a table for the same reason as the sites, and
-    partitioned by number once. Windows and aggregates of every broadcast level
-    reuse that partitioning, and their sort is on one integer.
+    Positions are numbered, in a table for the same reason as the sites. The levels that every
+    task can hold are walked in the position's task; below them positions are partitioned by
+    number once, windows and aggregates reuse that, and their sort is on one integer.
     """
     at_lat, at_lon = F.col("__lat"), F.col("__lon")
     d2 = _square_distance(at_lat, at_lon)
     levels = _levels(points)
     numbered = positions.select(F.monotonically_increasing_id().alias("__id"), *_POSITION)
-    frontier = (
-        materialise(numbered, "positions")
-        .repartition("__id")
-        .withColumn("__bound", F.lit(float("inf")))
-        .withColumn("node", F.explode(F.array(F.lit(0).cast("bigint"))))
-    )
+    numbered = materialise(numbered, "positions").repartition("__id")
+    held = [i for i, (_, count) in enumerate(levels) if count <= broadcast_nodes]
+    if held:
+        frontier = _upper_levels(numbered, _boxes(points, levels[held[0]][0]))
+        levels = levels[: held[0] + 1]
+    else:
+        frontier = numbered.withColumn("__bound", F.lit(float("inf"))).withColumn(
+            "node", F.explode(F.array(F.lit(0).cast("bigint")))
+        )
     for (child, count), (parent, _) in reversed(list(zip(levels, levels[1:]))):
         boxes = _boxes(points, child).withColumn("node", F.shiftright("id", parent - child))
         # The middle site of any box is a candidate, so its distance is a bound.
@@ -239,14 +370,14 @@ def _packed_answers(
 class PreparedSites:
     """A site list made ready once, for any number of event tables or batches.
 
-    ``listed`` holds the sites if there are few, else ``points`` is the table of the
-    packed tree. ``chosen`` has the columns to take, by gid.
+    ``shared`` holds a list that every task takes whole, else ``points`` is the table of
+    the packed tree. ``chosen`` has the columns to take, by gid.
     """
 
     take: dict[str, str]
     kind: str
     chosen: DataFrame
-    listed: list[Row] | None
+    shared: Broadcast | None
     points: DataFrame | None
 
 
@@ -259,9 +390,10 @@ def prepare_sites(
     take: dict[str, str] | None = None,
     strategy: str = "auto",
     inline_sites: int = INLINE_SITES,
+    tree_sites: int = TREE_SITES,
 ) -> PreparedSites:
     """Read the sites, choose the way by their number, and pack a long list."""
-    if strategy not in ("auto", "inline", "packed"):
+    if strategy not in ("auto", "inline", "tree", "packed"):
         raise ValueError(f"unknown strategy {strategy!r}")
     take = take or {"sensor_gid": gid}
     points = _site_points(sites, gid, site_lat, site_lon)
@@ -270,13 +402,17 @@ def prepare_sites(
         F.col(gid).alias("__gid"),
         *(F.col(src).alias(f"__take_{out}") for out, src in take.items()),
     )
+    if strategy == "packed":
+        return PreparedSites(take, kind, chosen, None, _packed_points(points))
     # One site more than may be listed tells whether all of them may.
-    listed = [] if strategy == "packed" else points.orderBy("gid").limit(inline_sites + 1).collect()
-    if strategy == "inline" and len(listed) > inline_sites:
-        raise ValueError(f"more than {inline_sites} sites for the inline strategy")
-    if strategy != "packed" and len(listed) <= inline_sites:
-        return PreparedSites(take, kind, chosen, listed, None)
-    return PreparedSites(take, kind, chosen, None, _packed_points(points))
+    most = inline_sites if strategy == "inline" else max(tree_sites, inline_sites)
+    found = _finder(points, most, 0 if strategy == "tree" else inline_sites)
+    if found is None and strategy != "auto":
+        raise ValueError(f"more than {most} sites for the {strategy} strategy")
+    if found is None:
+        return PreparedSites(take, kind, chosen, None, _packed_points(points))
+    shared = sites.sparkSession.sparkContext.broadcast(found)
+    return PreparedSites(take, kind, chosen, shared, None)
 
 
 def nearest_site(
@@ -305,8 +441,8 @@ def nearest_site(
     take = sites.take
     events = events.drop(*(c for c in take if c in events.columns))
     taken = [F.col(f"__take_{out}").alias(out) for out in take]
-    if sites.listed is not None:
-        answered = _inline(events, sites.listed, sites.kind, lat, lon)
+    if sites.shared is not None:
+        answered = _answered(events, sites, lat, lon)
         return lookup_join(
             answered, sites.chosen, ["__gid"], "left", max_rows=broadcast_rows
         ).select(*events.columns, "distance", *taken)

@@ -353,18 +353,27 @@ def repair_actions(
 def audit_rule(
     events: DataFrame, sensor: DataFrame | None, key: str, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """(control_name, checked_rows, issue_count) of one control, computing no other."""
+    """(control_name, checked_rows, issue_count) of one control, computing no other.
+
+    One scan, unless the site list is too long to broadcast.
+    """
     total = F.count("*").alias("checked_rows")
     rules = row_rules()
     if key in rules:
         counts = events.agg(total, F.count_if(rules[key]).alias("issue_count"))
+    elif key == "duplicates":
+        per_key = events.groupBy("event_id").agg(F.count("*").alias("__n"))
+        counts = per_key.agg(
+            F.coalesce(F.sum("__n"), F.lit(0)).alias("checked_rows"), F.count_if(F.col("__n") > 1).alias("issue_count")
+        )
     else:
-        if key == "duplicates":
-            found = duplicate_key_count(events)
+        canonical = canonical_rows(sensor)
+        if fits_broadcast(canonical, max_rows):
+            known = F.col("__known").isNotNull()
+            bad = {"metadata": known & metadata_differs(), "orphans": ~known}[key]
+            joined = events.join(F.broadcast(canonical), "sensor_gid", "left")
+            counts = joined.agg(total, F.count_if(bad).alias("issue_count"))
         else:
-            found = metadata_counts(events, sensor, max_rows)
-        counts = _one_row(
-            [events.agg(total), found.select(F.col(key).alias("issue_count"))],
-            ["checked_rows", "issue_count"],
-        )
+            found = metadata_counts(events, sensor, max_rows).select(F.col(key).alias("issue_count"))
+            counts = _one_row([events.agg(total), found], ["checked_rows", "issue_count"])
     return counts.select(F.lit(CONTROLS[key][1]).alias("control_name"), "checked_rows", "issue_count")

@@ -10,7 +10,8 @@ from gaugeworks.plans import adapters as A
 from gaugeworks.plans import registry as R
 from gaugeworks.session import fresh_path, remove_path
 from gaugeworks.sinks.files import messages
-from gaugeworks.sources import flatten_payload, json_file_stream
+from gaugeworks.sources import decode_events, flatten_payload, json_file_stream
+from gaugeworks.sources.message_log import append_messages, message_log_stream
 from gaugeworks.sources.tables import register_views
 from gaugeworks.streaming.progress import ProgressLog, read_progress, runs
 from gaugeworks.streaming import committed_batches, enrich_messages, keep_running, load_clean_keyed, read_committed
@@ -177,3 +178,30 @@ def stream_progress(spark, sf):
     progress = read_progress(spark, path)
     errors = progress.groupBy("run_id").agg(F.count("error").alias("errors"))
     return runs(progress).join(errors, "run_id").select("outcome", "batches", "input_rows", "errors")
+
+
+@query(
+    f"""SELECT {A.LANDED["event_id"]} AS event_id, value AS temperature_c, 4 AS partitions, true AS offsets_whole
+        FROM delivered""",
+    ("delivered",),
+)
+def stream_source_offsets(spark, sf):
+    """A partitioned log that is appended to between two runs of a query: each message arrives once."""
+    root, out = fresh_path(spark, "log"), fresh_path(spark, "from-log")
+    rows = A.delivered(spark, sf)
+
+    def run(kinds):
+        some = A.project(rows.filter(_kinds([kinds])), R._STREAMED)
+        append_messages(messages(some), root, 4, key=F.get_json_object("value", "$.event_id"))
+        stream = message_log_stream(spark, root)
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    for kinds in _ARRIVALS:
+        run(kinds)
+    landed = spark.read.parquet(out)
+    ends = landed.groupBy("partition").agg(F.count("*").alias("n"), F.countDistinct("offset").alias("d"), F.max("offset").alias("m"))
+    whole = ends.agg(F.count("*"), F.min((F.col("n") == F.col("d")) & (F.col("m") + 1 == F.col("n")))).first()
+    return decode_events(landed.select("value")).select(
+        "event_id", "temperature_c", F.lit(whole[0]).cast("int").alias("partitions"), F.lit(whole[1]).alias("offsets_whole")
+    )

@@ -10,6 +10,7 @@ from gaugeworks.session import scratch, shared_dir
 TAKE = {"sensor_gid": "gid", "sensor_ident": "ident"}
 WAYS = {
     "inline": {"strategy": "inline"},
+    "tree": {"strategy": "tree"},
     "packed": {"strategy": "packed"},
     "shuffled": {"strategy": "packed", "broadcast_nodes": 0, "broadcast_rows": 0},
 }
@@ -147,7 +148,9 @@ def test_long_lists_are_not_collected(city):
     events, sites, d2 = city
     with pytest.raises(ValueError, match="more than 10"):
         nearest_site(events, sites, strategy="inline", inline_sites=10)
-    found = nearest_site(events, sites, inline_sites=10).toPandas().sort_values("event_id")
+    for most in (10, 1000):
+        found = nearest_site(events, sites, inline_sites=10, tree_sites=most).toPandas().sort_values("event_id")
+        assert (found.sensor_gid.to_numpy() == d2.argmin(axis=1)).all()
     assert (found.sensor_gid.to_numpy() == d2.argmin(axis=1)).all()
     with pytest.raises(ValueError, match="unknown"):
         nearest_site(events, sites, strategy="guess")
@@ -187,3 +190,23 @@ def test_scratch_tables_are_removed(spark, city, tmp_path):
     with scratch(spark):
         nearest_site(events, ready).write.parquet(f"{tmp_path}/out")
     assert set(os.listdir(root)) == before
+
+
+@pytest.mark.parametrize("cells", [64, 1_000_000])
+def test_tree_with_crowds_and_far_places(spark, monkeypatch, cells):
+    """Many sites at one distance from an event, positions off the globe, and a small frontier."""
+    from gaugeworks.operators import nearest
+
+    monkeypatch.setattr(nearest, "BATCH_CELLS", cells)
+    angle = np.linspace(0, 2 * np.pi, 500, endpoint=False)
+    lat = np.concatenate([np.round(np.cos(angle), 2), np.zeros(300), [1e200, -1e300]])
+    lon = np.concatenate([np.round(np.sin(angle), 2), np.arange(300) * 3.0, [0.0, 1e250]])
+    gid = np.random.default_rng(5).permutation(len(lat))
+    sites = frame(spark, lat, lon, gid=gid, ident=["x"] * len(lat))
+    at = np.array([[0.0, 0.0], [0.0, 898.0], [50.0, 1.5], [1e199, 5.0], [-1e299, 1e249], [0.5, 0.5]])
+    events = frame(spark, at[:, 0], at[:, 1], event_id=np.arange(len(at)))
+    found = nearest_site(events, sites, take=TAKE, strategy="tree").toPandas().sort_values("event_id")
+    with np.errstate(over="ignore"):
+        d2 = (at[:, :1] - lat) ** 2 + (at[:, 1:] - lon) ** 2
+    want = [min(gid[row == row.min()]) for row in d2]
+    assert found.sensor_gid.tolist() == want
