@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gaugeworks.llm import kneser_ney, ngram_jaccard, packed, recompression, tokens
+from gaugeworks.llm import kneser_ney, licence_sentences, ngram_jaccard, packed, recompression, tokens
 from gaugeworks.llm.best_fit_packing import best_fit_packing, fullest, plan_bins
 from gaugeworks.llm.components import components
 from gaugeworks.llm.decontaminate import decontaminate
@@ -967,3 +967,58 @@ def test_archives_are_judged_by_the_bytes_read(spark, tmp_path):
     assert [got[i].intact for i in range(6)] == [True, True, True, False, True, True]
     assert got[3].payload_digest == hashlib.sha256(b"<ppppp>>" * 40).hexdigest()
     assert got[2].payload_digest == rows[2].payload_digest
+
+
+FAMILIES = {
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin must not be misrepresented.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+}
+
+
+def test_licence_families_however_wrapped(documents):
+    """Each usual notice at several widths, bare and in comments, after lines of a file's head."""
+    import textwrap
+
+    import duckdb
+
+    rows, want = [], {}
+    for name, text in FAMILIES.items():
+        for width in (30, 60, 72, 80):
+            wrapped = textwrap.wrap(text, width, break_on_hyphens=False, break_long_words=False)
+            for mark in ("", "# ", "// ", " * ", "-- "):
+                head = [f"{mark}tool.c - a tool.", mark.rstrip(), f"{mark}Copyright (c) 2020 Some One.", mark.rstrip()]
+                rows.append((len(rows), "\n".join(head + [mark + x for x in wrapped] + ["", "int main() {"])))
+                want[rows[-1][0]] = (name, width, mark)
+    rows += [(len(rows) + i, f"{mark}SPDX-License-Identifier: {name}\nimport x") for i, (mark, name) in enumerate(
+        [("# ", "MIT"), ("// ", "GPL-2.0-only"), ("", "BSD-3-Clause"), (" * ", "Apache-2.0")])]
+    want |= {i: (t.split(": ")[1].split("\n")[0], 0, "") for i, t in rows[len(want) :]}
+    rows += [(-1, "Licensed under the\nApache License, Version 2.0."), (-2, "not a licence\nAt all")]
+    got = {r.doc_id: r.licences for r in scan(documents(rows)).collect()}
+    missing = [w for i, w in want.items() if got[i] != [w[0]]]
+    assert not missing
+    assert got[-1] == ["Apache-2.0"] and got[-2] == []
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    twin = {r[0]: r[3] for r in con.execute(licence_sentences.oracle_sql()).fetchall()}
+    assert twin == {i: ",".join(x) for i, x in got.items()}
+
+
+def test_notices_can_be_added(documents):
+    text = "The Rose Licence\n\nYou may grow this: in any garden, at\nany time. Do not\n# sell the petals."
+    known, rule = licence_sentences.notice("Rose-1", text)
+    assert rule == ("Rose-1", tuple(n for n, _ in known)) and len(known) == 4
+    rows = [(1, f"// The Rose Licence\n//\n// You may grow this: in any garden,\n// at any time. Do not sell the petals.\ncode"), (2, "The Rose Licence")]
+    got = {r.doc_id: r for r in scan(documents(rows), sentences=known, rules=[rule]).collect()}
+    assert got[1].licences == ["Rose-1"] and got[2].licences == [] and got[2].left_over == ["Rose-1-1"]
