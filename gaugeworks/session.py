@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -64,6 +64,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def settled(spark: SparkSession, label: str, job: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``job`` as a table; the tables that it wrote on its way are removed."""
+    path = fresh_path(spark, label)
+    with scratch(spark):
+        job().write.parquet(path)
+    held = _SCRATCH.get()
+    if held is not None:
+        held.append(path)
+    return spark.read.parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.dedupe import first_per_key
 from gaugeworks.operators.lookup import fits_broadcast, hot_keys, lookup_join
+from gaugeworks.session import materialise, scratch, settled, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +67,16 @@ def test_first_per_key_is_stable_and_combines_before_the_shuffle(spark, plan):
     assert {(r.k, r.t, r.v) for r in kept.collect()} == {("a", 1, "y"), (None, 4, "n"), ("b", 9, "q")}
     text = plan(kept)
     assert text.count("WindowGroupLimit") >= 2  # once in each task, once after the shuffle
+
+
+def test_settled_leaves_one_table(spark):
+    root = shared_dir(spark).removeprefix("file://") + "/gaugeworks"
+    os.makedirs(root, exist_ok=True)
+    before = set(os.listdir(root))
+    found = settled(spark, "settled", lambda: materialise(spark.range(5), "inner").filter("id > 2"))
+    assert found.count() == 2
+    (left,) = set(os.listdir(root)) - before
+    assert left.startswith("settled-")
+    with scratch(spark):
+        assert settled(spark, "again", lambda: materialise(spark.range(3), "inner")).count() == 3
+    assert set(os.listdir(root)) - before == {left}
