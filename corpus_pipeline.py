@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but
 the last return the columns of ``documents``. Between stages the rows are a table in the shared
-folder, so a lost executor costs at most the work of one stage.
+folder, so a lost executor costs at most the work of one stage; what a stage wrote on its way is
+removed once its own table is there.
 
 Null texts count as empty and go in the first stage (too few words). A document whose lines all go
 stays as an empty text. Near copies share 80 percent or more of their five-word shingles; of a
@@ -20,7 +21,7 @@ from gaugeworks.llm.decontaminate import decontaminate
 from gaugeworks.llm.line_bloom import line_dedup
 from gaugeworks.llm.ngram_jaccard import jaccard_components
 from gaugeworks.llm.quality_bands import compression_bands
-from gaugeworks.session import materialise
+from gaugeworks.session import settled
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Near copies: words of a shingle, and the lowest Jaccard similarity in percent.
@@ -78,5 +79,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = settled(spark, f"stage-{name}", lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
