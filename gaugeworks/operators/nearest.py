@@ -29,7 +29,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import is_finite
-from gaugeworks.operators.lookup import BROADCAST_ROWS, lookup_join
+from gaugeworks.operators.lookup import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    lookup_join,
+    measured_size,
+)
 from gaugeworks.session import materialise
 
 FAN_BITS = 4  # of a packed node
@@ -371,12 +376,13 @@ class PreparedSites:
     """A site list made ready once, for any number of event tables or batches.
 
     ``shared`` holds a list that every task takes whole, else ``points`` is the table of
-    the packed tree. ``chosen`` has the columns to take, by gid.
+    the packed tree. ``chosen`` has the columns to take, by gid; ``size`` its rows and bytes.
     """
 
     take: dict[str, str]
     kind: str
     chosen: DataFrame
+    size: tuple[int, int]
     shared: Broadcast | None
     points: DataFrame | None
 
@@ -402,17 +408,18 @@ def prepare_sites(
         F.col(gid).alias("__gid"),
         *(F.col(src).alias(f"__take_{out}") for out, src in take.items()),
     )
+    size = measured_size(chosen)
     if strategy == "packed":
-        return PreparedSites(take, kind, chosen, None, _packed_points(points))
+        return PreparedSites(take, kind, chosen, size, None, _packed_points(points))
     # One site more than may be listed tells whether all of them may.
     most = inline_sites if strategy == "inline" else max(tree_sites, inline_sites)
     found = _finder(points, most, 0 if strategy == "tree" else inline_sites)
     if found is None and strategy != "auto":
         raise ValueError(f"more than {most} sites for the {strategy} strategy")
     if found is None:
-        return PreparedSites(take, kind, chosen, None, _packed_points(points))
+        return PreparedSites(take, kind, chosen, size, None, _packed_points(points))
     shared = sites.sparkSession.sparkContext.broadcast(found)
-    return PreparedSites(take, kind, chosen, shared, None)
+    return PreparedSites(take, kind, chosen, size, shared, None)
 
 
 def nearest_site(
@@ -441,11 +448,17 @@ def nearest_site(
     take = sites.take
     events = events.drop(*(c for c in take if c in events.columns))
     taken = [F.col(f"__take_{out}").alias(out) for out in take]
+    rows, size = sites.size
+    small = rows <= broadcast_rows and size <= BROADCAST_BYTES
+
+    def with_site(answers: DataFrame, how: str) -> DataFrame:
+        if small:
+            return answers.join(F.broadcast(sites.chosen), "__gid", how)
+        return lookup_join(answers, sites.chosen, ["__gid"], how, max_rows=broadcast_rows)
+
     if sites.shared is not None:
         answered = _answered(events, sites, lat, lon)
-        return lookup_join(
-            answered, sites.chosen, ["__gid"], "left", max_rows=broadcast_rows
-        ).select(*events.columns, "distance", *taken)
+        return with_site(answered, "left").select(*events.columns, "distance", *taken)
     usable = is_finite(lat) & is_finite(lon)
     located = events.withColumns(
         {
@@ -457,9 +470,7 @@ def nearest_site(
     answers = materialise(
         _packed_answers(positions, sites.points, broadcast_nodes, node_salts), "nearest"
     )
-    answers = lookup_join(
-        answers, sites.chosen, ["__gid"], "inner", max_rows=broadcast_rows
-    ).select(*_POSITION, F.sqrt("d2").alias("distance"), *taken)
+    answers = with_site(answers, "inner").select(*_POSITION, F.sqrt("d2").alias("distance"), *taken)
     return lookup_join(located, answers, _POSITION, "left", max_rows=broadcast_rows).select(
         *events.columns, "distance", *take
     )

@@ -12,8 +12,10 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +57,14 @@ def _count(df: DataFrame, name: str, key: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count("*").alias(key)), seen
 
 
+def _together(*jobs: Callable[[], None]) -> None:
+    """Run independent writes at the same time; all have ended when one's error is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+    for each in running:
+        each.result()
+
+
 def enrich_messages(
     messages: DataFrame,
     sites: DataFrame,
@@ -96,17 +106,19 @@ def enrich_messages(
         try:
             with scratch(session):
                 raw, n_raw = _count(decoded.select(F.col("__text").alias("value")), "raw", "n")
-                land(raw, "raw", batch_id, "text")
                 events = decoded.filter(readable & placed).drop("__text", "_corrupt_record")
                 enriched = nearest_site(events, ready).drop("distance")
                 enriched, n_enriched = _count(enriched, "enriched", "n")
-                land(enriched, "enriched", batch_id, "parquet")
-                counts = {"messages": n_raw.get["n"], "enriched": n_enriched.get["n"]}
                 rejected = decoded.filter(~(readable & placed)).select(
                     F.when(readable, "no position").otherwise("unreadable").alias("reason"),
                     F.col("__text").alias("value"),
                 )
-                land(rejected, "rejected", batch_id, "json")
+                _together(
+                    lambda: land(raw, "raw", batch_id, "text"),
+                    lambda: land(enriched, "enriched", batch_id, "parquet"),
+                    lambda: land(rejected, "rejected", batch_id, "json"),
+                )
+            counts = {"messages": n_raw.get["n"], "enriched": n_enriched.get["n"]}
             counts["rejected"] = counts["messages"] - counts["enriched"]
             commits.commit(session, out, query, batch_id, counts)
         finally:
@@ -206,10 +218,12 @@ def load_clean(
             held = loaded_keys(session, target, query, batch_id)
             fresh = absent_rows(cleaned.drop("violations"), held, ["event_id"], ["collected_at"])
             loaded, n_loaded = _count(to_target(fresh, WEATHER_SENSOR_CLEAN), "loaded", "n")
-            commits.land(loaded, f"{target}/loaded", query, batch_id, "parquet")
             refused = unusable.unionByName(checked.filter(~good))
             refused, n_refused = _count(refused, "rejected", "n")
-            commits.land(refused, f"{target}/rejected", query, batch_id, "parquet")
+            _together(
+                lambda: commits.land(loaded, f"{target}/loaded", query, batch_id, "parquet"),
+                lambda: commits.land(refused, f"{target}/rejected", query, batch_id, "parquet"),
+            )
             counts = {"loaded": n_loaded.get["n"], "rejected": n_refused.get["n"]}
             written = session.read.schema(_KEYS).parquet(
                 commits.folder(f"{target}/loaded", query, batch_id)
