@@ -57,10 +57,10 @@ def _count(df: DataFrame, name: str, key: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count("*").alias(key)), seen
 
 
-def _together(*jobs: Callable[[], None]) -> None:
+def _together(session: SparkSession, *jobs: Callable[[], None]) -> None:
     """Run independent writes at the same time; all have ended when one's error is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(inheritable_thread_target(session)(job)) for job in jobs]
     for each in running:
         each.result()
 
@@ -114,6 +114,7 @@ def enrich_messages(
                     F.col("__text").alias("value"),
                 )
                 _together(
+                    session,
                     lambda: land(raw, "raw", batch_id, "text"),
                     lambda: land(enriched, "enriched", batch_id, "parquet"),
                     lambda: land(rejected, "rejected", batch_id, "json"),
@@ -221,6 +222,7 @@ def load_clean(
             refused = unusable.unionByName(checked.filter(~good))
             refused, n_refused = _count(refused, "rejected", "n")
             _together(
+                session,
                 lambda: commits.land(loaded, f"{target}/loaded", query, batch_id, "parquet"),
                 lambda: commits.land(refused, f"{target}/rejected", query, batch_id, "parquet"),
             )
