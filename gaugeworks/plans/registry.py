@@ -405,11 +405,15 @@ _BIG_SITES = f"(SELECT * REPLACE ({_BIG} AS gid) FROM short_sites)"
     ("positioned", "short_sites"),
 )
 def nearest_site_ids(spark, sf):
-    """Both ways to the nearest site, which must agree to the last digit of an id."""
+    """Both ways to the nearest site, which must agree to the last digit of an id.
+
+    The list grows with the data: the first way answers in the event's row, from a list or from a
+    tree, for as many sites as every task may hold, and goes down the packed levels beyond.
+    """
     sites = A.short_sites(spark, sf).withColumn("gid", F.expr(_BIG))
     found = [
-        _nearest(A.positioned(spark, sf), sites, strategy=way).select(F.lit(way).alias("way"), "*")
-        for way in ("inline", "packed")
+        _nearest(A.positioned(spark, sf), sites, strategy=strategy).select(F.lit(way).alias("way"), "*")
+        for way, strategy in (("inline", "auto"), ("packed", "packed"))
     ]
     return found[0].unionByName(found[1])
 
