@@ -80,9 +80,11 @@ def stream_load_stateful(spark, sf):
     out, target = R._run_enrich(spark, sf), fresh_path(spark, "clean")
     inbox = fresh_path(spark, "enriched-twice")
     enriched = spark.read.parquet(f"{out}/enriched").drop("query_id", "batch_id")
+    # Ten batches of two files for each task that a batch may have.
+    most = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) // 10)
     for _ in range(2):
-        enriched.repartition(10).write.mode("append").parquet(inbox)
-    stream = spark.readStream.schema(enriched.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        enriched.repartition(10 * most).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(enriched.schema).option("maxFilesPerTrigger", 2 * most).parquet(inbox)
     load_clean_keyed(stream, target, f"{target}-checkpoint", run_at=R.RUN_AT).awaitTermination()
     batches = committed_batches(spark, target).count()
     assert batches == 10, batches

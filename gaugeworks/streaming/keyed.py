@@ -6,8 +6,10 @@ with changelogs in the checkpoint: a batch touches only its own ids. With a time
 forgotten that long after its first copy. The state belongs to the checkpoint: one checkpoint per
 target, and a cleared one starts without ids.
 
-The state function is called once per id of a batch, in Python. That is a fixed cost per event
-(README), which pays off where the table of loaded ids is large against a batch.
+The state operator is Spark's own de-duplication of a key column, so no Python runs per event; only
+a time to live needs a state function, called once per id of a batch, which is a fixed cost. Which
+copy of a batch is kept is not its concern: it says which ids are new, and the batch's own rows are
+compared for those.
 """
 
 from __future__ import annotations
@@ -22,64 +24,51 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gaugeworks.operators.constraints import clean_row_checks, flag_violations
+from gaugeworks.operators.dedupe import first_per_key
 from gaugeworks.operators.lookup import fits_broadcast
 from gaugeworks.operators.merge import to_target
 from gaugeworks.plans.flows import KEY_COLUMNS, type_events
 from gaugeworks.schemas import WEATHER_SENSOR_CLEAN
+from gaugeworks.session import materialise, scratch
 from gaugeworks.streaming import commits
-from gaugeworks.streaming.flows import trigger_options
+from gaugeworks.streaming.flows import _count, _together, trigger_options
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
-# The state function gets its rows as named tuples, which take no leading underscore.
-_KEY, _AT, _FREE = "state_key", "state_at", "state_free"
+_NEW = "__new"
 
 
-class FirstOfKey(StatefulProcessor):
-    """The first row of a key over all batches, by ``order``; rows marked free pass as they are."""
+class NewKey(StatefulProcessor):
+    """A key, if it is not held."""
 
-    def __init__(self, order: str, free: str, ttl_ms: int | None) -> None:
-        self.order, self.free, self.ttl_ms = order, free, ttl_ms
+    def __init__(self, key: str, ttl_ms: int) -> None:
+        self.key, self.ttl_ms = key, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "at BIGINT", self.ttl_ms)
+        self.seen = handle.getValueState("seen", "held BOOLEAN", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in rows:
-            bound = part[~part[self.free]]
-            if len(bound) < len(part):
-                yield part[part[self.free]]
-            if len(bound):
-                own = bound.sort_values(self.order, kind="stable", na_position="first").head(1)
-                if first is None or _earlier(own, first, self.order):
-                    first = own
-        if first is not None and not self.seen.exists():
-            at = first[self.order].iloc[0]
-            self.seen.update((None if pd.isna(at) else int(at),))
-            yield first
+        for _ in rows:
+            pass
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield pd.DataFrame({self.key: [key[0]]})
 
     def close(self) -> None:
         pass
 
 
-def _earlier(a: pd.DataFrame, b: pd.DataFrame, order: str) -> bool:
-    x, y = a[order].iloc[0], b[order].iloc[0]
-    return not pd.isna(y) and (pd.isna(x) or x < y)
+def new_keys(stream: DataFrame, key: str, ttl_ms: int | None = None) -> DataFrame:
+    """Each key in the first batch that has it, once. Needs the embedded store, see ``keyed_settings``.
 
-
-def first_of_key(
-    stream: DataFrame, key: str, order: str, free: str, ttl_ms: int | None = None
-) -> DataFrame:
-    """Of each key the first row ever, by the long column ``order`` within a batch.
-
-    Rows for which ``free`` is true pass unchanged and leave no state; their ``key`` only deals
-    them over the tasks. Needs the embedded store, see ``keyed_settings``.
+    With a time to live a key is new again that long after it was, by the clock.
     """
-    processor = FirstOfKey(order, free, ttl_ms)
-    mode = "ProcessingTime" if ttl_ms else "None"
-    return stream.groupBy(key).transformWithStateInPandas(processor, stream.schema, "Append", mode)
+    keys = stream.select(key)
+    if not ttl_ms:
+        return keys.dropDuplicates([key])
+    processor = NewKey(key, ttl_ms)
+    return keys.groupBy(key).transformWithStateInPandas(processor, keys.schema, "Append", "ProcessingTime")
 
 
 def keyed_settings() -> dict[str, str]:
@@ -128,41 +117,36 @@ def load_clean_keyed(
     """
     spark = enriched.sparkSession
     query = commits.query_id(spark, checkpoint)
-    spread = 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     checked = _checked(enriched, run_at, source_tz, sensor)
-    refused = F.size("violations") > 0
-    dealt = F.concat(F.lit("-"), F.pmod(F.xxhash64(*checked.drop("violations").columns), F.lit(spread)))
-    keyed = checked.withColumns(
-        {
-            _FREE: refused,
-            _KEY: F.when(refused, dealt).otherwise(F.concat(F.lit("+"), "event_id")),
-            _AT: F.unix_micros("collected_at"),
-        }
-    )
-    once = first_of_key(keyed, _KEY, _AT, _FREE, ttl_ms).drop(_KEY, _AT, _FREE)
-    types = {f.name: f.dataType for f in checked.schema.fields}
+    good = F.size("violations") == 0
+    new = new_keys(checked.filter(good), "event_id", ttl_ms).withColumn(_NEW, F.lit(True))
+    marked = checked.withColumn(_NEW, F.lit(False)).unionByName(new, allowMissingColumns=True)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if commits.is_committed(session, target, query, batch_id):
             return
-        rows = batch.select(*(F.col(c).cast(types[c]) for c in batch.columns)).persist()
-        try:
-            good = F.size("violations") == 0
-            loaded = to_target(rows.filter(good).drop("violations"), WEATHER_SENSOR_CLEAN)
-            commits.land(loaded, f"{target}/loaded", query, batch_id, "parquet")
-            commits.land(rows.filter(~good), f"{target}/rejected", query, batch_id, "parquet")
-            found = rows.agg(F.count_if(good).alias("loaded"), F.count_if(~good).alias("rejected")).first()
-        finally:
-            rows.unpersist()
-        commits.commit(session, target, query, batch_id, found.asDict())
+        with scratch(session):
+            found = materialise(batch, "keyed")  # once: the state is asked and changed by it
+            fresh, rows = found.filter(_NEW).select("event_id"), found.filter(f"NOT {_NEW}").drop(_NEW)
+            first = first_per_key(rows.filter(good).drop("violations"), ["event_id"], ["collected_at"])
+            loaded = to_target(first.join(fresh, "event_id", "left_semi"), WEATHER_SENSOR_CLEAN)
+            loaded, n_loaded = _count(loaded, "loaded", "n")
+            refused, n_refused = _count(rows.filter(~good), "rejected", "n")
+            _together(
+                session,
+                lambda: commits.land(loaded, f"{target}/loaded", query, batch_id, "parquet"),
+                lambda: commits.land(refused, f"{target}/rejected", query, batch_id, "parquet"),
+            )
+            counts = {"loaded": n_loaded.get["n"], "rejected": n_refused.get["n"]}
+        commits.commit(session, target, query, batch_id, counts)
 
     settings = keyed_settings()
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:  # a query keeps the settings it was started under
-        writer = once.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+        writer = marked.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
         return writer.outputMode("append").trigger(**trigger_options(every)).start()
     finally:
         for name, value in before.items():
