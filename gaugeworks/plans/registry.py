@@ -1148,8 +1148,11 @@ _LOADED_EVENTS = f"""SELECT event_id, epoch_us(observed_at) AS observed_us,
 
 
 def _load(spark, out, target, checkpoint, glob="*"):
-    schema = spark.read.parquet(f"{out}/enriched").drop("query_id", "batch_id").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
+    enriched = spark.read.parquet(f"{out}/enriched")
+    schema = enriched.drop("query_id", "batch_id").schema
+    # As many batches for all rows as they were enriched in: they grow with the data, not their number.
+    most = -(-len(enriched.inputFiles()) // _BATCHES)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", most)
     stream = reader.option("recursiveFileLookup", True).parquet(f"{out}/enriched/query_id=*/batch_id={glob}")
     load_clean(stream, target, checkpoint, run_at=RUN_AT).awaitTermination()
 
