@@ -99,4 +99,5 @@ def lookup_join(
         keyed = keyed.withColumn("__part", F.lit(0))
     dealt = F.floor(F.rand(17) * F.coalesce(parts, F.lit(1))).cast("int")
     facts = facts.withColumn("__part", dealt).drop("__parts")
-    return facts.join(keyed, [*on, "__part"], how).drop("__part")
+    # Spark goes by the size of files, which may be far below that of the rows: it must not broadcast them.
+    return facts.join(keyed.hint("merge"), [*on, "__part"], how).drop("__part")

@@ -42,6 +42,7 @@ INLINE_SITES = 2048
 TREE_SITES = 250_000
 BATCH_CELLS = 1_000_000  # distances computed at once by a task
 BROADCAST_NODES = 250_000
+ANSWER_BYTES = 16 * 1024 * 1024  # of answers by position; a stream sends them anew in each batch
 NODE_SALTS = 16
 _ROW_BITS = 33  # row part of monotonically_increasing_id
 
@@ -284,8 +285,9 @@ def _visit(
     # Many positions may share one node. Their numbers are distinct, so a hash spreads them.
     salt = F.pmod(F.xxhash64("__id"), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    # By the size of their files Spark would broadcast all copies of all entries.
     return frontier.withColumn("__salt", salt).join(
-        children.withColumn("__salt", copies), ["node", "__salt"]
+        children.withColumn("__salt", copies).hint("merge"), ["node", "__salt"]
     )
 
 
@@ -471,6 +473,7 @@ def nearest_site(
         _packed_answers(positions, sites.points, broadcast_nodes, node_salts), "nearest"
     )
     answers = with_site(answers, "inner").select(*_POSITION, F.sqrt("d2").alias("distance"), *taken)
-    return lookup_join(located, answers, _POSITION, "left", max_rows=broadcast_rows).select(
-        *events.columns, "distance", *take
+    joined = lookup_join(
+        located, answers, _POSITION, "left", max_rows=broadcast_rows, max_bytes=ANSWER_BYTES
     )
+    return joined.select(*events.columns, "distance", *take)
